@@ -117,7 +117,7 @@ def quantiles(df: DataFrame, value: str, probs: dict[str, float], by: Sequence[s
 
 def column_quantiles(df: DataFrame, columns: Sequence[str], p: float = 0.5) -> DataFrame:
     """One row with the exact p-quantile of each column, from one pair of passes."""
-    pairs = F.array(*[F.struct(F.lit(c).alias("_c"), F.col(c).cast("double").alias("_x")) for c in columns])
+    pairs = F.array(*[F.struct(F.lit(c).alias("_name"), F.col(c).cast("double").alias("_x")) for c in columns])
     long = df.select(F.inline(pairs))
-    per = quantiles(long, "_x", {"_m": p}, by=["_c"], max_groups=len(columns))
-    return per.agg(*[F.max(F.when(F.col("_c") == c, F.col("_m"))).alias(c) for c in columns])
+    per = quantiles(long, "_x", {"_m": p}, by=["_name"], max_groups=len(columns))
+    return per.agg(*[F.max(F.when(F.col("_name") == c, F.col("_m"))).alias(c) for c in columns])
