@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from vitrine.functions.numeric import as_number, finite, min_max
 from vitrine.schema import NUMERIC_CORE
+from vitrine.session import one_row
 
 # Availability patterns. The loose one misses "instock" and matches
 # "indisponible"; the strict one corrects both.
@@ -25,19 +26,18 @@ PLATFORM_NAMES = {"shopify": "Shopify", "woocommerce": "WooCommerce"}
 def normalize(df: DataFrame, columns: Sequence[str] = NUMERIC_CORE) -> DataFrame:
     """Add `{c}_norm` in [0, 1]; a constant column maps to 0.
 
-    All extremes come from one aggregate used as a scalar subquery: one extra
-    column-pruned scan, no join and no shuffle of the table.
+    All extremes come from one aggregate over a column-pruned scan; the table itself
+    is only projected, never joined or shuffled.
     """
     present = [c for c in columns if c in df.columns]
     if not present:
         return df
     values = df.select(*[F.coalesce(as_number(df, c), F.lit(0.0)).alias(c) for c in present])
-    extremes = values.agg(F.struct(*[
-        e for c in present for e in (F.min(c).alias(f"{c}_lo"), F.max(c).alias(f"{c}_hi"))]).alias("e"))
-    out = df.withColumn("_e", extremes.scalar())
-    return out.withColumns({
-        f"{c}_norm": min_max(F.coalesce(as_number(df, c), F.lit(0.0)), F.col(f"_e.{c}_lo"), F.col(f"_e.{c}_hi"))
-        for c in present}).drop("_e")
+    ends = one_row(values.agg(*[e for c in present for e in (F.min(c).alias(f"{c}_lo"), F.max(c).alias(f"{c}_hi"))]))
+    return df.withColumns({
+        f"{c}_norm": min_max(F.coalesce(as_number(df, c), F.lit(0.0)),
+                             F.lit(ends[f"{c}_lo"]).cast("double"), F.lit(ends[f"{c}_hi"]).cast("double"))
+        for c in present})
 
 
 def derive(df: DataFrame, strict: bool = False) -> DataFrame:

@@ -14,9 +14,12 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from vitrine.session import cut_lineage
+from vitrine.session import cut_lineage, one_row
 
-SKETCH_ACCURACY = 100_000
+# At n rows the bracket holds about 4n / SKETCH_ACCURACY of them; groups up to
+# SMALL_GROUP rows need no bracket.
+SKETCH_ACCURACY = 10_000
+SMALL_GROUP = 100_000
 BROADCAST_GROUPS = 20_000
 
 
@@ -41,26 +44,25 @@ def order_statistics(
     """
     by = list(by)
     rows = df.select(*by, F.col(value).cast("double").alias("_v")).filter(F.col("_v").isNotNull())
+    inf = F.lit(float("inf"))
     eps = 2.0 / accuracy
     probs = [q for _, p, _ in targets for q in (max(p - eps, 0.0), min(p + eps, 1.0))]
     sketch = rows.groupBy(*by).agg(
         F.count("_v").alias("_n"),
         F.percentile_approx("_v", probs, accuracy).alias("_q"),
     )
-    # Up to `accuracy` values the bracket is the whole group: still bounded.
-    small = F.col("_n") <= accuracy
-    inf = F.lit(float("inf"))
-    specs = F.array(*[
-        F.struct(
-            F.lit(i).alias("_t"),
-            rank(F.col("_n")).cast("double").alias("_h"),
-            F.when(small | F.lit(p - eps <= 0.0), -inf).otherwise(F.col("_q")[2 * i]).alias("_lo"),
-            F.when(small | F.lit(p + eps >= 1.0), inf).otherwise(F.col("_q")[2 * i + 1]).alias("_hi"),
-        )
-        for i, (_, p, rank) in enumerate(targets)
-    ])
-    wanted = sketch.select(*by, "_n", specs.alias("_specs"))
     if by:
+        small = F.col("_n") <= SMALL_GROUP
+        specs = F.array(*[
+            F.struct(
+                F.lit(i).alias("_t"),
+                rank(F.col("_n")).cast("double").alias("_h"),
+                F.when(small | F.lit(p - eps <= 0.0), -inf).otherwise(F.col("_q")[2 * i]).alias("_lo"),
+                F.when(small | F.lit(p + eps >= 1.0), inf).otherwise(F.col("_q")[2 * i + 1]).alias("_hi"),
+            )
+            for i, (_, p, rank) in enumerate(targets)
+        ])
+        wanted = sketch.select(*by, "_n", specs.alias("_specs"))
         keyed = rows
         for c in by:
             keyed = keyed.withColumnRenamed(c, f"_k_{c}")
@@ -72,8 +74,19 @@ def order_statistics(
             few = max_groups <= BROADCAST_GROUPS
         joined = keyed.join(F.broadcast(wanted) if few else wanted, cond)
     else:
-        joined = rows.withColumn("_w", wanted.select(F.struct("_n", "_specs")).scalar()).select(
-            "_v", "_w._n", "_w._specs")
+        found = one_row(sketch)
+        n, q = found["_n"], found["_q"]
+        whole = n <= SMALL_GROUP
+        specs = F.array(*[
+            F.struct(
+                F.lit(i).alias("_t"),
+                rank(F.lit(n)).cast("double").alias("_h"),
+                (-inf if whole or p - eps <= 0.0 else F.lit(q[2 * i])).alias("_lo"),
+                (inf if whole or p + eps >= 1.0 else F.lit(q[2 * i + 1])).alias("_hi"),
+            )
+            for i, (_, p, rank) in enumerate(targets)
+        ])
+        joined = rows.select("_v", F.lit(n).alias("_n"), specs.alias("_specs"))
     inside = F.col("_v") >= F.col("_s._lo")
     counted = (
         joined.select(*by, "_n", "_v", F.explode("_specs").alias("_s"))

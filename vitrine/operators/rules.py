@@ -8,10 +8,12 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from vitrine.schema import CLUSTER_LABELS, available
+from vitrine.session import cut_lineage, one_row
 
 # Mining thresholds and the least count that supports an itemset.
 MIN_SUPPORT, MIN_CONFIDENCE, MIN_LIFT = 0.01, 0.5, 1.0
 LEAST_COUNT = 5.0
+MAX_LISTED_ITEMS = 20_000
 RULE_METRICS = (
     "antecedent support", "consequent support", "support", "confidence", "lift",
     "representativity", "leverage", "conviction", "zhangs_metric", "jaccard",
@@ -41,50 +43,81 @@ def to_long(wide: DataFrame) -> DataFrame:
             .dropna(subset=["item"]).dropDuplicates(["transaction_id", "item"]))
 
 
-def support_floor(n: Column, min_support: float = MIN_SUPPORT) -> Column:
-    """Support below which an itemset has too few transactions to mean anything."""
-    return F.greatest(F.lit(float(min_support)), F.lit(LEAST_COUNT) / F.greatest(n, F.lit(1)))
+def frequent_items(counts: DataFrame, n: int, min_support: float) -> DataFrame:
+    """Keep items of (item, n_item) whose support reaches the floor."""
+    floor = max(float(min_support), LEAST_COUNT / max(n, 1))
+    return counts.filter(F.col("n_item") / F.lit(float(max(n, 1))) >= F.lit(floor))
 
 
-def itemset_counts(baskets: DataFrame, min_support: float = MIN_SUPPORT) -> tuple[DataFrame, DataFrame]:
-    """Frequent items (item, n_item, n_total) and pairs (a, b, n_pair), a < b.
+def known_items(singles: DataFrame) -> list[str] | None:
+    """Names of the frequent items if they are few, else None.
+
+    There are at most mean basket size / support of them; only a tiny support can
+    make that a long list, so it is fetched only up to a fixed length.
+    """
+    names = [x["item"] for x in singles.select("item").limit(MAX_LISTED_ITEMS + 1).collect()]
+    return names if len(names) <= MAX_LISTED_ITEMS else None
+
+
+def gather(long: DataFrame) -> DataFrame:
+    """One row per transaction with its distinct items."""
+    return long.groupBy("transaction_id").agg(F.collect_set("item").alias("items"))
+
+
+def prune(baskets: DataFrame, singles: DataFrame) -> DataFrame:
+    """Baskets cut to frequent items, in text order; those under two items go."""
+    names = known_items(singles)
+    if names is not None:
+        kept = baskets.select("transaction_id", F.filter("items", lambda x: x.isin(names)).alias("items"))
+    else:
+        long = baskets.select("transaction_id", F.explode("items").alias("item"))
+        kept = gather(long.join(singles.select("item"), "item", "left_semi"))
+    return kept.select("transaction_id", F.array_sort("items").alias("items")).filter(F.size("items") > 1)
+
+
+def pair_counts(pruned: DataFrame) -> DataFrame:
+    """(a, b, n_pair) with a < b, formed inside each row and combined on the map
+    side, so neither a self-join nor one row per pair crosses the network."""
+    heads = pruned.select(F.posexplode("items").alias("i", "a"), "items")
+    pairs = heads.select("a", F.explode(F.slice("items", F.col("i") + 2, F.size("items"))).alias("b"))
+    return pairs.groupBy("a", "b").agg(F.count(F.lit(1)).alias("n_pair"))
+
+
+def itemset_counts(baskets: DataFrame, min_support: float = MIN_SUPPORT) -> tuple[DataFrame, DataFrame, int]:
+    """Frequent items (item, n_item), frequent pairs (a, b, n_pair) and the number
+    of transactions.
 
     `baskets` holds (transaction_id, items) with distinct items per row. Pruning to
-    frequent items first bounds every basket: there are at most
-    mean basket size / support of them, whatever the size of a hot transaction.
-    Pairs are formed inside the row and combined on the map side, so neither a
-    self-join nor one row per pair crosses the network.
+    frequent items bounds every basket before pairs are formed.
     """
-    total = baskets.agg(F.count(F.lit(1)).alias("n"))
+    n = baskets.count()
     counts = baskets.select(F.explode("items").alias("item")).groupBy("item").agg(
         F.count(F.lit(1)).alias("n_item"))
-    singles = counts.withColumn("n_total", total.scalar()).filter(
-        F.col("n_item") / F.col("n_total") >= support_floor(F.col("n_total"), min_support))
-    # At most mean basket size / support names: bounded, so it can be one array.
-    names = singles.agg(F.collect_set("item")).scalar()
-    pruned = baskets.select(F.array_sort(F.array_intersect("items", names)).alias("items")).filter(
-        F.size("items") > 1)
-    heads = pruned.select(F.posexplode("items").alias("i", "a"), "items")
-    pairs = heads.select("a", F.explode(F.slice("items", F.col("i") + 2, F.size("items"))).alias("b"))
-    counted = pairs.groupBy("a", "b").agg(F.count(F.lit(1)).alias("n_pair")).withColumn("n_total", total.scalar())
-    frequent = counted.filter(F.col("n_pair") / F.col("n_total") >= support_floor(F.col("n_total"), min_support))
-    return singles, frequent.drop("n_total")
+    singles = cut_lineage(frequent_items(counts, n, min_support))
+    floor = max(float(min_support), LEAST_COUNT / max(n, 1))
+    pairs = pair_counts(prune(baskets, singles)).filter(
+        F.col("n_pair") / F.lit(float(max(n, 1))) >= F.lit(floor))
+    return singles, pairs, n
 
 
-def long_to_baskets(long: DataFrame, min_support: float = MIN_SUPPORT) -> DataFrame:
-    """Baskets of a (transaction_id, item) table, pruned to items that can be frequent.
+def baskets_from_long(long: DataFrame, min_support: float = MIN_SUPPORT) -> DataFrame:
+    """Baskets of a (transaction_id, item) table, cut to items that can be frequent.
 
-    Distinct pairs are combined on the map side before any grouping, and only
-    frequent items are gathered, so a transaction with a third of all rows ends as
-    one short array. Transactions left empty stay, as they count in the support.
+    Repeats are combined on the map side and only frequent items are gathered, so a
+    transaction with a third of all rows ends as one short array. Transactions left
+    empty stay, as they count in the support.
     """
     distinct = long.dropna(subset=["item"]).dropDuplicates(["transaction_id", "item"])
-    n = distinct.agg(F.count_distinct("transaction_id").alias("n"))
-    counts = distinct.groupBy("item").agg(F.count(F.lit(1)).alias("c")).withColumn("n", n.scalar())
-    kept = counts.filter(F.col("c") / F.col("n") >= support_floor(F.col("n"), min_support))
-    names = kept.agg(F.collect_set("item")).scalar()
-    marked = distinct.withColumn("item", F.when(F.array_contains(names, F.col("item")), F.col("item")))
-    return marked.groupBy("transaction_id").agg(F.collect_set("item").alias("items"))
+    n = one_row(distinct.agg(F.count_distinct("transaction_id").alias("n")))["n"]
+    counts = distinct.groupBy("item").agg(F.count(F.lit(1)).alias("n_item"))
+    singles = cut_lineage(frequent_items(counts, n, min_support))
+    names = known_items(singles)
+    if names is not None:
+        marked = long.withColumn("item", F.when(F.col("item").isin(names), F.col("item")))
+    else:
+        marks = singles.select("item", F.col("item").alias("kept"))
+        marked = distinct.join(marks, "item", "left").select("transaction_id", F.col("kept").alias("item"))
+    return gather(marked.dropDuplicates(["transaction_id", "item"]))
 
 
 def rule_metrics(sa: Column, sc: Column, sac: Column) -> dict[str, Column]:
@@ -108,15 +141,14 @@ def rule_metrics(sa: Column, sc: Column, sac: Column) -> dict[str, Column]:
 def pair_rules(baskets: DataFrame, min_support: float = MIN_SUPPORT, min_confidence: float = MIN_CONFIDENCE,
                min_lift: float = MIN_LIFT) -> DataFrame:
     """Directed rules in both directions above the thresholds, unordered."""
-    singles, pairs = itemset_counts(baskets, min_support)
+    singles, pairs, n_total = itemset_counts(baskets, min_support)
     both = F.array(F.struct(F.col("a").alias("antecedents"), F.col("b").alias("consequents")),
                    F.struct(F.col("b").alias("antecedents"), F.col("a").alias("consequents")))
     directed = pairs.select("n_pair", F.inline(both))
-    # Frequent items are bounded by mean basket size / support, as are their counts.
-    left = F.broadcast(singles.select(F.col("item").alias("antecedents"), F.col("n_item").alias("n_a"), "n_total"))
-    right = F.broadcast(singles.select(F.col("item").alias("consequents"), F.col("n_item").alias("n_c")))
+    left = singles.select(F.col("item").alias("antecedents"), F.col("n_item").alias("n_a"))
+    right = singles.select(F.col("item").alias("consequents"), F.col("n_item").alias("n_c"))
     joined = directed.join(left, "antecedents").join(right, "consequents")
-    n = F.col("n_total").cast("double")
+    n = F.lit(float(max(n_total, 1)))
     metrics = rule_metrics(F.col("n_a") / n, F.col("n_c") / n, F.col("n_pair") / n)
     rules = joined.select("antecedents", "consequents", *[metrics[m].alias(m) for m in RULE_METRICS])
     return rules.filter((F.col("confidence") >= min_confidence) & (F.col("lift") >= min_lift))

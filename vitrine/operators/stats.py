@@ -13,6 +13,7 @@ from vitrine.functions.numeric import as_number, round_dec
 from vitrine.operators.features import COUNTRY_ISO3, mapped, source_country
 from vitrine.operators.quantiles import quantiles
 from vitrine.schema import PROFILE_COLUMNS, available
+from vitrine.session import one_row
 
 STAT_COLUMNS = ("price", "rating", "composite_score", "review_count", "stock_quantity")
 
@@ -22,13 +23,12 @@ def distribution(df: DataFrame, column: str = "composite_score") -> DataFrame:
     if column not in df.columns:
         raise KeyError(f"column '{column}' is missing")
     values = df.select(as_number(df, column).alias("v"))
-    cuts = quantiles(values, "v", {"q25": 0.25, "median": 0.5, "q75": 0.75})
+    cuts = one_row(quantiles(values, "v", {"q25": 0.25, "median": 0.5, "q75": 0.75}))
     moments = values.agg(
         F.count("v").alias("count"), F.min("v").alias("min"), F.max("v").alias("max"),
         F.avg("v").alias("mean"), F.stddev_samp("v").alias("std"),
         F.count_if(F.col("v").isNull()).alias("missing"))
-    return moments.withColumn("_q", cuts.select(F.struct("q25", "median", "q75")).scalar()).select(
-        "count", "missing", "min", "max", "mean", "std", "_q.q25", "_q.median", "_q.q75")
+    return moments.withColumns({c: F.lit(cuts[c]).cast("double") for c in ("q25", "median", "q75")})
 
 
 def quantile_set(df: DataFrame, column: str, probs: Sequence[float] = (0.5, 0.8, 0.9, 0.95, 0.99)) -> DataFrame:
@@ -179,12 +179,11 @@ def box_stats(df: DataFrame, value: str = "composite_score", group: str = "clust
 def histogram(df: DataFrame, column: str = "composite_score", bins: int = 20) -> DataFrame:
     """(bin, n) over equal-width bins between the column's extremes; the maximum
     falls in the last bin."""
-    extremes = df.agg(F.struct(F.min(column).alias("lo"), F.max(column).alias("hi"))).scalar()
-    placed = df.filter(F.col(column).isNotNull()).withColumn("_e", extremes)
-    width = F.col("_e.hi") - F.col("_e.lo")
-    slot = F.floor((F.col(column) - F.col("_e.lo")) * F.lit(float(bins)) / F.nullif(width, F.lit(0.0)))
+    ends = one_row(df.agg(F.min(column).alias("lo"), F.max(column).alias("hi")))
+    lo, hi = F.lit(ends["lo"]), F.lit(ends["hi"])
+    slot = F.floor(F.try_divide((F.col(column) - lo) * F.lit(float(bins)), hi - lo))
     bin_ = F.least(F.coalesce(slot, F.lit(0)), F.lit(bins - 1)) + 1
-    return placed.groupBy(bin_.cast("int").alias("bin")).agg(F.count(F.lit(1)).alias("n"))
+    return df.filter(F.col(column).isNotNull()).groupBy(bin_.cast("int").alias("bin")).agg(F.count(F.lit(1)).alias("n"))
 
 
 def keyword_counts(df: DataFrame, columns: Sequence[str], min_length: int = 5) -> DataFrame:

@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Row, SparkSession
 
 
 def get_spark(app: str = "vitrine", master: str | None = None, **conf: str) -> SparkSession:
@@ -56,3 +56,10 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     """Reliable checkpoint: survives executor loss and keeps iterative plans flat."""
     work_dir(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+def one_row(df: DataFrame) -> Row:
+    """Fetch a global aggregate: exactly one row, so its size does not depend on the
+    data. Its values then enter later plans as literals, which keeps those plans
+    flat and lets filters on them reach the scan."""
+    return df.first()
