@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -180,9 +178,3 @@ def itemset_label(items: Column) -> Column:
     """An itemset as sorted, comma-joined text."""
     return F.concat_ws(", ", F.array_sort(items))
 
-
-def long_itemsets(baskets: DataFrame, min_support: float = MIN_SUPPORT, columns: Sequence[str] = ("items",)):
-    """Frequent itemsets of any length by Spark's FP-growth, as a fitted model."""
-    from pyspark.ml.fpm import FPGrowth
-
-    return FPGrowth(itemsCol=columns[0], minSupport=min_support, minConfidence=MIN_CONFIDENCE).fit(baskets)

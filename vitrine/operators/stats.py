@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from vitrine.functions.numeric import as_number, round_dec
+from vitrine.functions.text import WHITESPACE
 from vitrine.operators.features import COUNTRY_ISO3, mapped, source_country
 from vitrine.operators.quantiles import quantiles
 from vitrine.schema import PROFILE_COLUMNS, available
@@ -189,7 +190,7 @@ def histogram(df: DataFrame, column: str = "composite_score", bins: int = 20) ->
 def keyword_counts(df: DataFrame, columns: Sequence[str], min_length: int = 5) -> DataFrame:
     """(word, n) of lowercased whitespace-separated words of at least `min_length`."""
     text = F.concat_ws(" ", *[F.coalesce(F.col(c), F.lit("")) for c in columns])
-    words = df.select(F.explode(F.split(F.lower(text), r"(?U)\s+")).alias("word"))
+    words = df.select(F.explode(F.split(F.lower(text), WHITESPACE)).alias("word"))
     return words.filter(F.length("word") >= min_length).groupBy("word").agg(F.count(F.lit(1)).alias("n"))
 
 

@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from vitrine.plans import queries_products, queries_stats
+from vitrine.plans import queries_products, queries_rules, queries_stats, queries_text
 from vitrine.plans.registry import Query
 
-MODULES = (queries_products, queries_stats)
+MODULES = (queries_products, queries_stats, queries_rules, queries_text)
 
 
 def queries() -> dict[str, Query]:

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from vitrine.functions.numeric import as_number
 from vitrine.operators.score import top_k
 from vitrine.schema import available
+from vitrine.sources.raw import CSV_WRITE
 
 
 def exists(spark: SparkSession, path: str) -> bool:
@@ -54,7 +55,7 @@ def export(df: DataFrame, path: str, fmt: str = "csv", single_file: bool = False
     if fmt != "csv":
         raise ValueError(f"format '{fmt}' is not supported")
     out = df.coalesce(1) if single_file else df
-    out.write.mode("overwrite").option("header", True).option("escape", '"').csv(path)
+    out.write.mode("overwrite").options(**CSV_WRITE).csv(path)
     return path
 
 
