@@ -4,19 +4,123 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.ml.clustering import BisectingKMeans, KMeans
+from pyspark.ml.feature import PCA, StandardScaler, VectorAssembler
+from pyspark.ml.functions import vector_to_array
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from vitrine.operators.silhouette import silhouette
+from vitrine.schema import CLUSTER_FEATURES, available
+
+# Candidate numbers of clusters, and the limits of the segment tags.
+CANDIDATE_K = (3, 4, 5)
+HIERARCHICAL_K = 3
+HIGH, LOW = 0.7, 0.3
+
 
 def assign_to_centroids(df: DataFrame, features: Sequence[str], centroids: Mapping[int, Sequence[float]],
                         label: str = "cluster_kmeans") -> DataFrame:
     """Label of the nearest given centroid; equal distances go to the smaller label."""
-    def squared(center: Sequence[float]):
+    def squared(center: Sequence[float]) -> Column:
         total = F.lit(0.0)
         for name, x in zip(features, center):
             gap = F.col(name) - F.lit(float(x))
             total = total + gap * gap
         return total
 
-    nearest = F.least(*[F.struct(squared(c).alias("d"), F.lit(i).alias("i")) for i, c in sorted(centroids.items())])
+    options = [F.struct(squared(c).alias("d"), F.lit(i).alias("i")) for i, c in sorted(centroids.items())]
+    nearest = F.least(*options) if len(options) > 1 else options[0]
     return df.withColumn(label, nearest["i"])
+
+
+def assembled(df: DataFrame, features: Sequence[str] | None = None) -> DataFrame:
+    """Add the feature vector `_features`."""
+    names = list(features or available(df, CLUSTER_FEATURES))
+    return VectorAssembler(inputCols=names, outputCol="_features").transform(df)
+
+
+def by_norm(centers) -> dict[int, list[float]]:
+    """Centres numbered by distance from the origin, so labels do not depend on the
+    order the algorithm found them in."""
+    rows = sorted(([float(x) for x in c] for c in centers), key=lambda c: (sum(x * x for x in c), c))
+    return dict(enumerate(rows))
+
+
+def kmeans(df: DataFrame, k: int = 3, features: Sequence[str] | None = None, seed: int = 42,
+           label: str = "cluster_kmeans") -> tuple[DataFrame, dict[int, list[float]]]:
+    """K-means labels and centres. Rows are labelled by plain column arithmetic
+    against the k centres, so the labelled table stays in generated code."""
+    names = list(features or available(df, CLUSTER_FEATURES))
+    model = KMeans(k=k, seed=seed, featuresCol="_features", maxIter=100, tol=1e-4).fit(
+        assembled(df.select(*names), names))
+    centers = by_norm(model.clusterCenters())
+    return assign_to_centroids(df, names, centers, label), centers
+
+
+def sweep_k(df: DataFrame, ks: Sequence[int] = CANDIDATE_K, features: Sequence[str] | None = None,
+            seed: int = 42, squared: bool = False) -> tuple[DataFrame, dict[int, float]]:
+    """K-means for every k, keeping the labels of the best silhouette; scores by k."""
+    names = list(features or available(df, CLUSTER_FEATURES))
+    scores: dict[int, float] = {}
+    best: DataFrame | None = None
+    for k in ks:
+        out, _ = kmeans(df, k, names, seed)
+        scores[k] = silhouette(out, names, squared=squared).first()["silhouette"]
+        if scores[k] == max(scores.values()) and list(scores.values()).count(scores[k]) == 1:
+            best = out
+    return best, scores
+
+
+def hierarchical(df: DataFrame, k: int = HIERARCHICAL_K, features: Sequence[str] | None = None, seed: int = 42,
+                 label: str = "cluster_hierarchical") -> DataFrame:
+    """Divisive hierarchical clustering: bisecting k-means instead of merging all
+    pairs, which no cluster could do at scale. Leaves are numbered by centre norm."""
+    names = list(features or available(df, CLUSTER_FEATURES))
+    model = BisectingKMeans(k=k, seed=seed, featuresCol="_features", predictionCol="_p").fit(
+        assembled(df.select(*names), names))
+    centers = [[float(x) for x in c] for c in model.clusterCenters()]
+    order = {tuple(c): i for i, c in by_norm(centers).items()}
+    renumber = F.create_map(*[F.lit(x) for i, c in enumerate(centers) for x in (i, order[tuple(c)])])
+    out = model.transform(assembled(df, names))
+    return out.withColumn(label, renumber[F.col("_p")]).drop("_p", "_features")
+
+
+def covariance(df: DataFrame, features: Sequence[str] | None = None) -> DataFrame:
+    """(a, b, cov) for every pair of features, a at or before b, from one aggregate."""
+    names = list(features or available(df, CLUSTER_FEATURES))
+    pairs = [(a, b) for i, a in enumerate(names) for b in names[i:]]
+    row = df.agg(*[F.covar_samp(a, b).alias(f"c{i}") for i, (a, b) in enumerate(pairs)])
+    return row.select(F.inline(F.array(*[
+        F.struct(F.lit(a).alias("a"), F.lit(b).alias("b"), F.col(f"c{i}").alias("cov")) for i, (a, b) in enumerate(pairs)])))
+
+
+def pca2(df: DataFrame, features: Sequence[str] | None = None, keep: Sequence[str] = ("product_id", "cluster_kmeans")
+         ) -> tuple[DataFrame, list[float]]:
+    """Two principal components of the centred features per row, and the share of
+    variance of each. The largest loading of a component is made positive."""
+    names = list(features or available(df, CLUSTER_FEATURES))
+    vectors = assembled(df, names)
+    centred = StandardScaler(inputCol="_features", outputCol="_centred", withMean=True, withStd=False).fit(vectors)
+    model = PCA(k=2, inputCol="_centred", outputCol="_pca").fit(centred.transform(vectors))
+    loadings = model.pc.toArray()
+    signs = [1.0 if loadings[abs(loadings[:, j]).argmax(), j] >= 0 else -1.0 for j in range(2)]
+    parts = vector_to_array("_pca")
+    out = model.transform(centred.transform(vectors)).select(*available(df, keep), *[
+        (parts[j] * F.lit(s)).alias(f"pca_{j + 1}") for j, s in enumerate(signs)])
+    return out, [float(v) for v in model.explainedVariance.toArray()]
+
+
+def interpret(profile: DataFrame, cluster: str = "cluster_kmeans") -> DataFrame:
+    """(cluster, tags) from a segment profile: price level, rating, stock."""
+    has = set(profile.columns)
+    tags = []
+    if "price_norm" in has:
+        tags.append(F.when(F.col("price_norm") > HIGH, "premium").when(F.col("price_norm") < LOW, "discount")
+                    .otherwise("mid-range"))
+    if "rating_norm" in has:
+        tags.append(F.when(F.col("rating_norm") > HIGH, "top-rated"))
+    if "stock_quantity_norm" in has:
+        tags.append(F.when(F.col("stock_quantity_norm") > HIGH, "high-stock"))
+    named = F.nullif(F.concat_ws(", ", *tags), F.lit("")) if tags else F.lit(None).cast("string")
+    return profile.select(cluster, F.coalesce(named, F.lit("standard")).alias("tags"))
