@@ -40,36 +40,36 @@ def assembled(df: DataFrame, features: Sequence[str] | None = None) -> DataFrame
     return VectorAssembler(inputCols=names, outputCol="_features").transform(df)
 
 
-def by_norm(centers) -> dict[int, list[float]]:
-    """Centres numbered by distance from the origin, so labels do not depend on the
-    order the algorithm found them in."""
-    rows = sorted(([float(x) for x in c] for c in centers), key=lambda c: (sum(x * x for x in c), c))
-    return dict(enumerate(rows))
+def norm_order(centers) -> list[int]:
+    """New number per centre, by distance from the origin, so labels do not depend on
+    the order the algorithm found them in."""
+    rows = [tuple(float(x) for x in c) for c in centers]
+    ranked = sorted(range(len(rows)), key=lambda i: (sum(x * x for x in rows[i]), rows[i]))
+    return [ranked.index(i) for i in range(len(rows))]
+
+
+def renumbered(predicted: DataFrame, order: Sequence[int], label: str) -> DataFrame:
+    """Replace the model's prediction by the stable label."""
+    table = F.array(*[F.lit(i) for i in order])
+    return predicted.withColumn(label, table[F.col("_p")]).drop("_p", "_features")
 
 
 def kmeans(df: DataFrame, k: int = 3, features: Sequence[str] | None = None, seed: int = 42,
-           label: str = "cluster_kmeans") -> tuple[DataFrame, dict[int, list[float]]]:
-    """K-means labels and centres. Rows are labelled by plain column arithmetic
-    against the k centres, so the labelled table stays in generated code."""
+           label: str = "cluster_kmeans") -> DataFrame:
+    """K-means labels, numbered by the norm of their centres."""
     names = list(features or available(df, CLUSTER_FEATURES))
-    model = KMeans(k=k, seed=seed, featuresCol="_features", maxIter=100, tol=1e-4).fit(
+    model = KMeans(k=k, seed=seed, featuresCol="_features", predictionCol="_p", maxIter=100, tol=1e-4).fit(
         assembled(df.select(*names), names))
-    centers = by_norm(model.clusterCenters())
-    return assign_to_centroids(df, names, centers, label), centers
+    return renumbered(model.transform(assembled(df.drop(label), names)), norm_order(model.clusterCenters()), label)
 
 
 def sweep_k(df: DataFrame, ks: Sequence[int] = CANDIDATE_K, features: Sequence[str] | None = None,
             seed: int = 42, squared: bool = False) -> tuple[DataFrame, dict[int, float]]:
     """K-means for every k, keeping the labels of the best silhouette; scores by k."""
     names = list(features or available(df, CLUSTER_FEATURES))
-    scores: dict[int, float] = {}
-    best: DataFrame | None = None
-    for k in ks:
-        out, _ = kmeans(df, k, names, seed)
-        scores[k] = silhouette(out, names, squared=squared).first()["silhouette"]
-        if scores[k] == max(scores.values()) and list(scores.values()).count(scores[k]) == 1:
-            best = out
-    return best, scores
+    tried = {k: kmeans(df, k, names, seed) for k in ks}
+    scores = {k: silhouette(out, names, squared=squared).first()["silhouette"] for k, out in tried.items()}
+    return tried[max(scores, key=scores.get)], scores
 
 
 def hierarchical(df: DataFrame, k: int = HIERARCHICAL_K, features: Sequence[str] | None = None, seed: int = 42,
@@ -79,11 +79,7 @@ def hierarchical(df: DataFrame, k: int = HIERARCHICAL_K, features: Sequence[str]
     names = list(features or available(df, CLUSTER_FEATURES))
     model = BisectingKMeans(k=k, seed=seed, featuresCol="_features", predictionCol="_p").fit(
         assembled(df.select(*names), names))
-    centers = [[float(x) for x in c] for c in model.clusterCenters()]
-    order = {tuple(c): i for i, c in by_norm(centers).items()}
-    renumber = F.create_map(*[F.lit(x) for i, c in enumerate(centers) for x in (i, order[tuple(c)])])
-    out = model.transform(assembled(df, names))
-    return out.withColumn(label, renumber[F.col("_p")]).drop("_p", "_features")
+    return renumbered(model.transform(assembled(df.drop(label), names)), norm_order(model.clusterCenters()), label)
 
 
 def covariance(df: DataFrame, features: Sequence[str] | None = None) -> DataFrame:

@@ -172,7 +172,7 @@ def _(spark, sf_dir):
 
 @REG.query("kmeans_labels")
 def _(spark, sf_dir):
-    return C.kmeans(stage_of(scored(spark, sf_dir), "scored"), 3)[0].select("product_id", "cluster_kmeans")
+    return C.kmeans(stage_of(scored(spark, sf_dir), "scored"), 3).select("product_id", "cluster_kmeans")
 
 
 @REG.query("kmeans_sweep")
@@ -190,7 +190,7 @@ def embedding_columns(spark, sf_dir):
 @REG.query("embedding_kmeans")
 def _(spark, sf_dir):
     df, names = embedding_columns(spark, sf_dir)
-    return C.kmeans(df, 10, names)[0].select("vec_id", "label", "cluster_kmeans")
+    return C.kmeans(df, 10, names).select("vec_id", "label", "cluster_kmeans")
 
 
 @REG.query("hierarchical_labels")
