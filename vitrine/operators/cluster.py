@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from functools import partial
 
 from pyspark.ml.clustering import BisectingKMeans, KMeans
 from pyspark.ml.feature import PCA, StandardScaler, VectorAssembler
@@ -12,6 +13,7 @@ from pyspark.sql import functions as F
 
 from vitrine.operators.silhouette import silhouette
 from vitrine.schema import CLUSTER_FEATURES, available
+from vitrine.session import together
 
 # Candidate numbers of clusters, and the limits of the segment tags.
 CANDIDATE_K = (3, 4, 5)
@@ -67,9 +69,14 @@ def sweep_k(df: DataFrame, ks: Sequence[int] = CANDIDATE_K, features: Sequence[s
             seed: int = 42, squared: bool = False) -> tuple[DataFrame, dict[int, float]]:
     """K-means for every k, keeping the labels of the best silhouette; scores by k."""
     names = list(features or available(df, CLUSTER_FEATURES))
-    tried = {k: kmeans(df, k, names, seed) for k in ks}
-    scores = {k: silhouette(out, names, squared=squared).first()["silhouette"] for k, out in tried.items()}
-    return tried[max(scores, key=scores.get)], scores
+
+    def attempt(k: int) -> tuple[DataFrame, float]:
+        out = kmeans(df, k, names, seed)
+        return out, silhouette(out, names, squared=squared).first()["silhouette"]
+
+    done = dict(zip(ks, together([partial(attempt, k) for k in ks])))
+    scores = {k: value for k, (_, value) in done.items()}
+    return done[max(scores, key=scores.get)][0], scores
 
 
 def hierarchical(df: DataFrame, k: int = HIERARCHICAL_K, features: Sequence[str] | None = None, seed: int = 42,

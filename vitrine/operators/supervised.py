@@ -6,8 +6,7 @@ price and stock, as most features are: a near-perfect F1 shows that leak, not sk
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
-from concurrent.futures import ThreadPoolExecutor
+from collections.abc import Sequence
 from functools import partial
 from statistics import fmean, pstdev
 
@@ -21,16 +20,16 @@ from vitrine.functions.numeric import as_number
 from vitrine.operators.evaluate import binary_metrics
 from vitrine.operators.quantiles import order_statistics, quantiles
 from vitrine.schema import BASE_FEATURES, OPTIONAL_FEATURES, available
-from vitrine.session import one_row
+from vitrine.session import one_row, together
 
 SEED = 42
+ROW_KEY = ("product_id", "title")
 TARGET = "is_top_product"
 # Score columns in order of preference, and the training parameters.
 SCORE_COLUMNS = ("composite_score", "score", "rating_norm")
 TOP_PERCENT, TEST_SHARE, FOLDS, TREES = 20, 0.3, 5, 100
 FOREST_DEPTH, BOOST_DEPTH, BOOST_STEP = 12, 6, 0.3
 ROWS_PER_PART = 200_000
-PARALLEL_FITS = 12
 
 
 def score_column(df: DataFrame) -> str:
@@ -48,21 +47,21 @@ def make_target(df: DataFrame, top_percent: float = TOP_PERCENT, score: str | No
     return df.withColumn(TARGET, F.coalesce(as_number(df, score) >= F.lit(cut), F.lit(False)).cast("int"))
 
 
-def feature_table(df: DataFrame, keep: Sequence[str] = ("product_id", TARGET)) -> tuple[DataFrame, list[str]]:
+def feature_table(df: DataFrame, keep: Sequence[str] = (*ROW_KEY, TARGET)) -> tuple[DataFrame, list[str]]:
     """Available features as numbers, bad or missing values as 0."""
     names = available(df, BASE_FEATURES + OPTIONAL_FEATURES)
     out = df.select(*available(df, keep), *[F.coalesce(as_number(df, c), F.lit(0.0)).alias(c) for c in names])
     return out, names
 
 
-def split(df: DataFrame, label: str = TARGET, key: str = "product_id", test_share: float = TEST_SHARE,
+def split(df: DataFrame, label: str = TARGET, key: Sequence[str] = ("product_id",), test_share: float = TEST_SHARE,
           seed: int = SEED) -> DataFrame:
     """Add `is_test`, marking ceil(share * n) rows of each class.
 
     The rows with the smallest key hashes of a class are its test rows: the hash of
     that rank is found by counting, so no class is sorted or gathered.
     """
-    hashed = df.withColumn("_h", hash52(F.col(key).cast("string"), f"split-{seed}"))
+    hashed = df.withColumn("_h", hash52(F.concat_ws("|", *key), f"split-{seed}"))
     edges = order_statistics(
         hashed, "_h", [("edge", test_share, lambda n: F.ceil(n * F.lit(float(test_share))) - 1)], by=[label], max_groups=2)
     limits = {r[label]: r["edge"] for r in edges.limit(3).collect()}
@@ -106,9 +105,9 @@ def boosted(trees: int = TREES, depth: int = BOOST_DEPTH, seed: int = SEED) -> G
                          stepSize=BOOST_STEP, seed=seed, maxBins=64, maxMemoryInMB=512)
 
 
-def fold_of(df: DataFrame, folds: int, key: str = "product_id") -> DataFrame:
+def fold_of(df: DataFrame, folds: int, key: Sequence[str] = ("product_id",)) -> DataFrame:
     """Add `_fold` from the key's hash."""
-    return df.withColumn("_fold", (hash32(F.col(key).cast("string"), "fold") % folds).cast("int"))
+    return df.withColumn("_fold", (hash32(F.concat_ws("|", *key), "fold") % folds).cast("int"))
 
 
 def fold_f1(estimator, folded: DataFrame, fold: int) -> float:
@@ -118,14 +117,7 @@ def fold_f1(estimator, folded: DataFrame, fold: int) -> float:
     return float(one_row(binary_metrics(held_out, TARGET, "prediction"))["f1"])
 
 
-def together(tasks: Sequence[Callable]) -> list:
-    """Run independent driver calls side by side: tree training is a long chain of
-    short jobs, and several chains fill the cluster better than one."""
-    with ThreadPoolExecutor(max_workers=PARALLEL_FITS) as pool:
-        return [f.result() for f in [pool.submit(t) for t in tasks]]
-
-
-def cross_validate(estimator, train: DataFrame, folds: int = FOLDS, key: str = "product_id") -> tuple[float, float]:
+def cross_validate(estimator, train: DataFrame, folds: int = FOLDS, key: Sequence[str] = ("product_id",)) -> tuple[float, float]:
     """Mean and standard deviation of the positive-class F1 over hash folds."""
     folded = fold_of(train, folds, key)
     return mean_std(together([partial(fold_f1, estimator, folded, i) for i in range(folds)]))
@@ -158,11 +150,12 @@ def run(df: DataFrame, folds: int = FOLDS, top_percent: float = TOP_PERCENT, tes
     how many parts the cached training table has.
     """
     table, names = feature_table(make_target(df, top_percent))
-    marked = assembled(split(table, test_share=test_share), names)
+    key = available(table, ROW_KEY)
+    marked = assembled(split(table, key=key, test_share=test_share), names)
     marked = sized(marked, partitions).persist()
     train, test = marked.filter("not is_test"), marked.filter("is_test")
     estimators = {"rf": forest(trees, forest_depth), "gbt": boosted(trees)}
-    weighted = {m: fold_of(with_weights(train, balanced=m == "rf"), max(folds, 1)) for m in estimators}
+    weighted = {m: fold_of(with_weights(train, balanced=m == "rf"), max(folds, 1), key) for m in estimators}
     scored_folds = range(folds if folds > 1 else 0)
     tasks = [partial(e.fit, weighted[m]) for m, e in reversed(estimators.items())]
     tasks += [partial(fold_f1, e, weighted[m], i) for m, e in reversed(estimators.items()) for i in scored_folds]

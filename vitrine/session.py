@@ -4,10 +4,15 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Callable, Sequence
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, Row, SparkSession
 
 
+PARALLEL_CHAINS = 12
+
+
 def get_spark(app: str = "vitrine", master: str | None = None, **conf: str) -> SparkSession:
     """Build or reuse a session; on a cluster the submitted settings win."""
     builder = SparkSession.builder.appName(app)
@@ -63,3 +68,10 @@ def one_row(df: DataFrame) -> Row:
     data. Its values then enter later plans as literals, which keeps those plans
     flat and lets filters on them reach the scan."""
     return df.first()
+
+
+def together(tasks: Sequence[Callable]) -> list:
+    """Run independent driver calls side by side. Model fits and iterative operators
+    are long chains of short jobs; several chains fill a cluster better than one."""
+    with ThreadPoolExecutor(max_workers=max(1, min(len(tasks), PARALLEL_CHAINS))) as pool:
+        return [f.result() for f in [pool.submit(t) for t in tasks]]
