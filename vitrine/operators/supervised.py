@@ -28,8 +28,8 @@ TARGET = "is_top_product"
 # Score columns in order of preference, and the training parameters.
 SCORE_COLUMNS = ("composite_score", "score", "rating_norm")
 TOP_PERCENT, TEST_SHARE, FOLDS, TREES = 20, 0.3, 5, 100
-FOREST_DEPTH, BOOST_DEPTH, BOOST_STEP = 12, 6, 0.3
-ROWS_PER_PART = 200_000
+FOREST_DEPTH, BOOST_DEPTH, BOOST_STEP = 10, 6, 0.3
+ROWS_PER_PART, SMALL_PART, FOREST_WORK = 200_000, 5_000, 10
 
 
 def score_column(df: DataFrame) -> str:
@@ -88,21 +88,24 @@ def assembled(df: DataFrame, names: Sequence[str]) -> DataFrame:
     return VectorAssembler(inputCols=list(names), outputCol="_features").transform(df)
 
 
-def sized(table: DataFrame, partitions: int | None = None) -> DataFrame:
-    """The narrow training table in parts of about ROWS_PER_PART rows: it is read once
-    per tree level, so many tiny parts would cost more than the work in them."""
-    wanted = partitions or max(1, -(-table.count() // ROWS_PER_PART))
-    return table.repartition(wanted)
+def sized(table: DataFrame, partitions: int | None = None, work: int = 1) -> DataFrame:
+    """The narrow training table in parts of about ROWS_PER_PART rows, or more parts, up
+    to the cores, while each still has work: the table is read once per tree level, and
+    parts that are too small cost more than the work in them."""
+    n = table.count()
+    cores = table.sparkSession.sparkContext.defaultParallelism
+    wanted = max(1, -(-n // ROWS_PER_PART), min(-(-n * work // SMALL_PART), cores))
+    return table.repartition(partitions or wanted)
 
 
 def forest(trees: int = TREES, depth: int = FOREST_DEPTH, seed: int = SEED) -> RandomForestClassifier:
     return RandomForestClassifier(featuresCol="_features", labelCol=TARGET, weightCol="_weight", numTrees=trees,
-                                  maxDepth=depth, seed=seed, maxBins=64, maxMemoryInMB=512, cacheNodeIds=True)
+                                  maxDepth=depth, seed=seed, maxBins=32, maxMemoryInMB=512, cacheNodeIds=True)
 
 
 def boosted(trees: int = TREES, depth: int = BOOST_DEPTH, seed: int = SEED) -> GBTClassifier:
     return GBTClassifier(featuresCol="_features", labelCol=TARGET, weightCol="_weight", maxIter=trees, maxDepth=depth,
-                         stepSize=BOOST_STEP, seed=seed, maxBins=64, maxMemoryInMB=512)
+                         stepSize=BOOST_STEP, seed=seed, maxBins=32, maxMemoryInMB=512)
 
 
 def fold_of(df: DataFrame, folds: int, key: Sequence[str] = ("product_id",)) -> DataFrame:
@@ -157,6 +160,7 @@ def run(df: DataFrame, folds: int = FOLDS, top_percent: float = TOP_PERCENT, tes
     estimators = {"rf": forest(trees, forest_depth), "gbt": boosted(trees)}
     weighted = {m: fold_of(with_weights(train, balanced=m == "rf"), max(folds, 1), key) for m in estimators}
     scored_folds = range(folds if folds > 1 else 0)
+    weighted["rf"] = sized(weighted["rf"], partitions, FOREST_WORK).persist()
     tasks = [partial(e.fit, weighted[m]) for m, e in reversed(estimators.items())]
     tasks += [partial(fold_f1, e, weighted[m], i) for m, e in reversed(estimators.items()) for i in scored_folds]
     done = together(tasks)
@@ -167,6 +171,7 @@ def run(df: DataFrame, folds: int = FOLDS, top_percent: float = TOP_PERCENT, tes
         "feature_cols": names, "n_train": train.count(), "n_test": test.count(), "models": models, "metrics": metrics,
         "cv": {m: mean_std(s) for m, s in scores.items()}, "comparison": comparison(metrics),
     }
+    weighted["rf"].unpersist()
     marked.unpersist()
     return out
 

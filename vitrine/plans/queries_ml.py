@@ -123,7 +123,8 @@ def training(spark, sf_dir):
 
 
 def model_metrics(estimator, marked, balanced):
-    model = estimator.fit(M.with_weights(marked.filter("not is_test"), balanced).persist())
+    train = M.with_weights(marked.filter("not is_test"), balanced)
+    model = estimator.fit(M.sized(train, work=M.FOREST_WORK if balanced else 1).persist())
     return E.binary_metrics(M.predict(model, marked.filter("is_test")), M.TARGET, "prediction")
 
 
@@ -139,7 +140,7 @@ def _(spark, sf_dir):
 
 @REG.query("forest_cross_validation")
 def _(spark, sf_dir):
-    train = M.with_weights(training(spark, sf_dir).filter("not is_test"), True).persist()
+    train = M.sized(M.with_weights(training(spark, sf_dir).filter("not is_test"), True), work=M.FOREST_WORK).persist()
     mean, std = M.cross_validate(M.forest(), train)
     return spark.createDataFrame([(mean, std)], "f1_mean double, f1_std double")
 
