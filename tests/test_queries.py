@@ -6,7 +6,7 @@ import __spark_entry__ as entry
 from tests.oracle import compare, connect
 
 SLOW = {"kmeans_sweep", "silhouette_by_method", "run_all_steps", "boosted_metrics", "forest_cross_validation",
-        "supervised_run"}
+        "supervised_run", "forest_metrics"}
 SQL = entry.oracle_sql()
 
 

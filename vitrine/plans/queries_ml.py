@@ -291,7 +291,7 @@ def _(spark, sf_dir):
 @REG.query("silhouette_by_method")
 def _(spark, sf_dir):
     df = stage_of(scored(spark, sf_dir), "scored")
-    out, scores = full_run.segment(df, full_run.Settings(ks=(3,), eps=(0.5,)))
+    out, scores = full_run.segment(df, full_run.Settings())
     return spark.createDataFrame(list(scores.items()), "method string, silhouette double")
 
 
