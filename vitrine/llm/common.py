@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -80,6 +81,7 @@ def mixed(h: np.ndarray) -> np.ndarray:
     return h ^ (h >> np.uint64(32))
 
 
+@lru_cache
 def odd_numbers(n: int, seed: int) -> np.ndarray:
     return np.random.default_rng(seed).integers(0, M64, n, dtype=np.uint64, endpoint=True) | np.uint64(1)
 

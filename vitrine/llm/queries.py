@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from vitrine.llm import minhash_forest
+from vitrine.llm import minhash_forest, robust_quality
 from vitrine.llm.common import table
 from vitrine.plans.registry import Registry
 
@@ -12,3 +12,8 @@ REG = Registry()
 @REG.query("op2_minhash_forest")
 def op2(spark, sf_dir):
     return minhash_forest.near_duplicates(table(spark, sf_dir, "documents"), percent=85)
+
+
+@REG.query("op1_robust_quality")
+def op1(spark, sf_dir):
+    return robust_quality.judge_documents(table(spark, sf_dir, "documents"))
