@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from vitrine.llm import minhash_forest, robust_quality
+from vitrine.llm import minhash_forest, robust_quality, toxic_crf
 from vitrine.llm.common import table
 from vitrine.plans.registry import Registry
 
@@ -17,3 +17,8 @@ def op2(spark, sf_dir):
 @REG.query("op1_robust_quality")
 def op1(spark, sf_dir):
     return robust_quality.judge_documents(table(spark, sf_dir, "documents"))
+
+
+@REG.query("op8_toxic_crf")
+def op8(spark, sf_dir):
+    return toxic_crf.score_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
