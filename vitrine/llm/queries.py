@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from vitrine.llm import minhash_forest, robust_quality, toxic_crf
+from vitrine.llm import minhash_forest, robust_quality, suffix_dedup, toxic_crf
 from vitrine.llm.common import table
 from vitrine.plans.registry import Registry
 
@@ -22,3 +22,8 @@ def op1(spark, sf_dir):
 @REG.query("op8_toxic_crf")
 def op8(spark, sf_dir):
     return toxic_crf.score_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+@REG.query("op5_suffix_dedup")
+def op5(spark, sf_dir):
+    return suffix_dedup.remove_repeats(table(spark, sf_dir, "documents"))
