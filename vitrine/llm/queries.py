@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from vitrine.llm import minhash_forest, robust_quality, suffix_dedup, toxic_crf
+from vitrine.llm import fuzzy_lines, minhash_forest, robust_quality, suffix_dedup, toxic_crf
 from vitrine.llm.common import table
 from vitrine.plans.registry import Registry
 
@@ -27,3 +27,8 @@ def op8(spark, sf_dir):
 @REG.query("op5_suffix_dedup")
 def op5(spark, sf_dir):
     return suffix_dedup.remove_repeats(table(spark, sf_dir, "documents"))
+
+
+@REG.query("op3_fuzzy_lines")
+def op3(spark, sf_dir):
+    return fuzzy_lines.dedup_lines(table(spark, sf_dir, "documents"))
