@@ -17,6 +17,8 @@ from vitrine.session import fresh_path
 MEMO_WORDS = 1_000_000
 SLICE_BYTES = 8 << 20
 M64 = (1 << 64) - 1
+# ASCII letters fold to lower case, other ASCII than letters and digits separates words.
+FOLD = bytes(c + 32 if 65 <= c <= 90 else c if c >= 128 or 48 <= c <= 57 or 97 <= c <= 122 else 32 for c in range(256))
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -51,6 +53,10 @@ def slices(batch: pa.RecordBatch, column: str = "text") -> Iterator[pa.RecordBat
         yield batch.slice(start)
 
 
+def folded_words(text: bytes | None) -> list[bytes]:
+    return (text or b"").translate(FOLD).split()
+
+
 def batch_of(schema: pa.Schema, **columns) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(columns[f.name], f.type) for f in schema], schema=schema)
 

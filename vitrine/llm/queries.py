@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from vitrine.llm import fuzzy_lines, minhash_forest, robust_quality, suffix_dedup, toxic_crf
+from vitrine.llm import fuzzy_lines, latent_leaks, minhash_forest, robust_quality, suffix_dedup, toxic_crf
 from vitrine.llm.common import table
 from vitrine.plans.registry import Registry
 
@@ -32,3 +32,8 @@ def op5(spark, sf_dir):
 @REG.query("op3_fuzzy_lines")
 def op3(spark, sf_dir):
     return fuzzy_lines.dedup_lines(table(spark, sf_dir, "documents"))
+
+
+@REG.query("op9_latent_leaks")
+def op9(spark, sf_dir):
+    return latent_leaks.find_leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))

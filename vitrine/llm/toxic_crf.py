@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from vitrine.llm.common import MEMO_WORDS, batch_of, slices, texts
+from vitrine.llm.common import FOLD, MEMO_WORDS, batch_of, folded_words, slices, texts
 
 FOLDS = 5
 # Bounds of the training sample: documents per label, and bytes of one training document.
@@ -28,17 +28,11 @@ FITTED_DOCS = 400
 STEMS, MIN_DOCS, MIN_ODDS, STRONG = 7, 3, 20.0, 40.0
 ITERATIONS, RATE, PENALTY = 30, 0.4, 1e-4
 SPAN_LEVEL = 0.5
-# Letters are folded to lower case and other ASCII separates words.
-FOLD = bytes(c + 32 if 65 <= c <= 90 else c if c >= 128 or 48 <= c <= 57 or 97 <= c <= 122 else 32 for c in range(256))
 SCORED = pa.schema([("doc_id", pa.int64()), ("held_out", pa.bool_()), ("score", pa.float64()), ("predicted", pa.int32()),
                     ("n_toxic", pa.int64()), ("span_starts", pa.list_(pa.int64())), ("span_ends", pa.list_(pa.int64()))])
 SCHEMA = "doc_id long, held_out boolean, score double, predicted int, n_toxic long, span_starts array<long>, span_ends array<long>"
 
 
-def tokens(text: bytes | None) -> list[bytes]:
-    return (text or b"").translate(FOLD).split()
-
-
 def features(word: bytes) -> list[bytes]:
     """The form itself, its beginnings and its end; beginnings stand for the stems of suffixing languages."""
     return [b"=" + word, b"4" + word[:4], b"5" + word[:5], b"6" + word[:6], b"7" + word[:7], b"8" + word[:8], b"9" + word[:9], b"$" + word[-3:], b"1"]
@@ -181,7 +175,7 @@ def toxic_forms(sequences: list[list[bytes]], labels: np.ndarray) -> set[bytes]:
 
 def train(sample: list[tuple[bytes, int]]) -> Field:
     """Fit on (text, label) rows; without both labels the field finds nothing toxic."""
-    sequences = [tokens(t) for t, _ in sample]
+    sequences = [folded_words(t) for t, _ in sample]
     labels = np.array([y for _, y in sample], dtype=float)
     keep = [i for i, s in enumerate(sequences) if s]
     sequences, labels = [sequences[i] for i in keep], labels[keep]
@@ -254,7 +248,7 @@ def scorer(field: Field):
         for batch in batches:
             for part in slices(batch):
                 raw = part.column("text").to_pylist()
-                sequences = [tokens(t) for t in raw]
+                sequences = [folded_words(t) for t in raw]
                 lengths = np.array([len(s) for s in sequences], np.int64)
                 emission = np.fromiter((memo[w] for s in sequences for w in s), np.float64, int(lengths.sum()))
                 p = np.zeros(0)
