@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from vitrine.llm import fuzzy_lines, latent_leaks, minhash_forest, robust_quality, suffix_dedup, toxic_crf
+from vitrine.llm import (fuzzy_lines, latent_leaks, minhash_forest, repair_ids, robust_quality, suffix_dedup,
+                         sum_squares_packing, toxic_crf)
 from vitrine.llm.common import table
 from vitrine.plans.registry import Registry
 
@@ -37,3 +38,13 @@ def op3(spark, sf_dir):
 @REG.query("op9_latent_leaks")
 def op9(spark, sf_dir):
     return latent_leaks.find_leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+@REG.query("op4_sum_squares_packing")
+def op4(spark, sf_dir):
+    return sum_squares_packing.pack_documents(table(spark, sf_dir, "documents"))
+
+
+@REG.query("op10_repair_ids")
+def op10(spark, sf_dir):
+    return repair_ids.round_trip(table(spark, sf_dir, "documents"))
