@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from vitrine.llm import (fuzzy_lines, latent_leaks, minhash_forest, repair_ids, robust_quality, suffix_dedup,
+from vitrine.llm import (block_lstm, fuzzy_lines, latent_leaks, license_index, minhash_forest, repair_ids, robust_quality, suffix_dedup,
                          sum_squares_packing, toxic_crf)
 from vitrine.llm.common import table
 from vitrine.plans.registry import Registry
@@ -48,3 +48,13 @@ def op4(spark, sf_dir):
 @REG.query("op10_repair_ids")
 def op10(spark, sf_dir):
     return repair_ids.round_trip(table(spark, sf_dir, "documents"))
+
+
+@REG.query("op6_block_lstm")
+def op6(spark, sf_dir):
+    return block_lstm.extract(table(spark, sf_dir, "pages"))
+
+
+@REG.query("op7_license_index")
+def op7(spark, sf_dir):
+    return license_index.scan_licences(table(spark, sf_dir, "documents"))
