@@ -1,8 +1,8 @@
 """Token ids of texts, remembered word by word.
 
-A byte-level tokenizer never joins text across a single space between two visible
-characters, so a text can be cut there. Most of the parts repeat, and each is sent
-to the tokenizers library once.
+A byte-level tokenizer never joins text across a single space or line feed between two
+visible characters, so a text can be cut there. Most of the parts repeat, and each is
+sent to the tokenizers library once.
 """
 
 from __future__ import annotations
@@ -15,9 +15,12 @@ import numpy as np
 
 VOCABULARY = "byte_bpe_50k.json"
 END_ID = 0
-MEMO_PARTS = 500_000  # parts a worker remembers; bounds its memory, changes no result
-IRREGULAR = re.compile(r"\s\s|^\s|\s$")
+MEMO_PARTS = 750_000  # parts of each of two generations a worker remembers; bounds its memory, changes no result
+# White space other than single spaces and line feeds, or what may be part of it.
+UNUSUAL = (b"  ", b"\n\n", b" \n", b"\n ", b"\0", b"\xc2\x85", b"\xc2\xa0", b"\xe1\x9a\x80", b"\xe2\x80", b"\xe2\x81\x9f", b"\xe3\x80\x80")
+CONTROLS = bytes([9, 11, 12, 13, 28, 29, 30, 31])
 CUT = re.compile(r"(?<=\S) (?=\S)")
+HEAD = "\0"  # marks the first part of a text, which has no space before it
 
 
 def vocabulary_path(name: str = VOCABULARY) -> str:
@@ -26,6 +29,25 @@ def vocabulary_path(name: str = VOCABULARY) -> str:
     return public_tokenizers.path(name)
 
 
+def parts(raw: bytes) -> list[str]:
+    """The text cut before single spaces and line feeds between visible characters.
+
+    A part stands for itself with a space before it, unless it starts with a line
+    feed or with HEAD.
+    """
+    text = raw.decode("utf-8", "replace")
+    if any(x in raw for x in UNUSUAL) or raw[0] in b" \n" or raw[-1] in b" \n" or len(raw.translate(None, CONTROLS)) < len(raw):
+        cut = CUT.split(text)
+        return [HEAD + cut[0], *(x if x[0] != HEAD else HEAD + " " + x for x in cut[1:])]
+    cut = text.replace("\n", " \n").split(" ")
+    cut[0] = HEAD + cut[0]
+    return cut
+
+
+def plain(part: str) -> str:
+    return part[1:] if part[0] == HEAD else part if part[0] == "\n" else " " + part
+
+
 class Encoder:
     """Little-endian 32-bit ids of texts, as bytes."""
 
@@ -35,33 +57,52 @@ class Encoder:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
-        self.known: dict[str, bytes] = {}
-
-    def parts(self, text: str) -> list[str]:
-        """The text cut before single spaces between visible characters; all parts but the first start with the space."""
-        cut = CUT.split(text) if IRREGULAR.search(text) else text.split(" ")
-        return [cut[0], *(" " + x for x in cut[1:])] if text else []
-
-    def encode(self, texts: list[str]) -> list[bytes]:
-        known = self.known
-        cut = [self.parts(t) for t in texts]
-        new = list({p for parts in cut for p in parts if p not in known})
-        if len(known) + len(new) > MEMO_PARTS:
-            known.clear()
-            new = list({p for parts in cut for p in parts})
-        for i in range(0, len(new), 50_000):
-            some = new[i:i + 50_000]
-            found = [e.ids for e in self.tokenizer.encode_batch_fast(some, add_special_tokens=False)]
+        self.marks = {m: np.array(self.tokenizer.encode(m, add_special_tokens=False).ids, "<u4").tobytes() for m in ".,"}
+        self.young: dict[str, bytes] = {}
+        self.old: dict[str, bytes] = {}
+
+    def learn(self, new: set[str]) -> None:
+        """Add the ids of parts to the young generation."""
+        known, unseen = {}, []
+        for p in new:
+            ids = self.old.get(p)
+            if ids is None:
+                unseen.append(p)
+            else:
+                known[p] = ids
+        # A letter and a full stop or comma behind it are never joined.
+        split = [p for p in unseen if p[-1] in ".," and len(p) > 1 and p[-2].isalpha()]
+        bare = {p[:-1] for p in split if p[:-1] not in self.young and p[:-1] not in known}
+        whole = list(bare.union(unseen).difference(split))
+        for i in range(0, len(whole), 50_000):
+            some = whole[i:i + 50_000]
+            found = [e.ids for e in self.tokenizer.encode_batch_fast([plain(x) for x in some], add_special_tokens=False)]
             flat = np.fromiter((x for ids in found for x in ids), "<u4").tobytes()
             at = 0
             for p, ids in zip(some, found):
                 known[p] = flat[at:at + 4 * len(ids)]
                 at += 4 * len(ids)
-        return [b"".join([known[p] for p in parts]) for parts in cut]
+        for p in split:
+            ids = known.get(p[:-1])
+            known[p] = (self.young[p[:-1]] if ids is None else ids) + self.marks[p[-1]]
+        if len(self.young) + len(known) > MEMO_PARTS:
+            self.old, self.young = self.young, {}
+        self.young.update(known)
+
+    def encode(self, texts: list[bytes]) -> list[bytes]:
+        out = []
+        for raw in texts:
+            cut = parts(raw) if raw else []
+            ids = list(map(self.young.get, cut))
+            if None in ids:
+                self.learn({p for p, x in zip(cut, ids) if x is None})
+                ids = [self.young[p] if x is None else x for p, x in zip(cut, ids)]
+            out.append(b"".join(ids))
+        return out
 
     def documents(self, texts: list[bytes | None]) -> list[bytes]:
         """Ids of whole documents with the end id; null is an empty text."""
-        return [ids + END_ID.to_bytes(4, "little") for ids in self.encode([(t or b"").decode("utf-8", "replace") for t in texts])]
+        return [ids + END_ID.to_bytes(4, "little") for ids in self.encode([t or b"" for t in texts])]
 
 
 @lru_cache(maxsize=2)
