@@ -21,7 +21,7 @@ from vitrine.llm.common import FOLD, MEMO_WORDS, batch_of, folded_words, slices,
 
 FOLDS = 5
 # Bounds of the training sample: documents per label, and bytes of one training document.
-SAMPLE_DOCS, SAMPLE_BYTES = 2_000, 20_000
+SAMPLE_DOCS, SAMPLE_BYTES = 1_200, 20_000
 # Of these, the sequences per label that the field itself is fitted on; the rest give word counts only.
 FITTED_DOCS = 400
 # Word features that may be toxic; documents and odds a toxic one needs, and the likelihood ratio of a strong one.
