@@ -31,7 +31,7 @@ from vitrine.session import fresh_path
 FORMAT = 1
 TERMINALS, SYMBOLS = 50_304, 65_536
 SEGMENT_IDS = 1 << 20
-ROUNDS, PAIRS_A_ROUND, MIN_COUNT = 5, 2_048, 16
+ROUNDS, PAIRS_A_ROUND, MIN_COUNT, SLOT_BITS = 5, 2_048, 16, 20
 FILES = pa.schema([("part", pa.int32()), ("segment", pa.int32()), ("base", pa.int64()), ("n_ids", pa.int64()), ("data", pa.binary())])
 FILE_SCHEMA = "part int, segment int, base long, n_ids long, data binary"
 READ = pa.schema([("doc_id", pa.int64()), ("start", pa.int64()), ("n_tokens", pa.int64()), ("ids_crc32", pa.int64())])
@@ -52,6 +52,10 @@ def choose(pairs: np.ndarray, counts: np.ndarray, most: int) -> list[int]:
     return out
 
 
+def slot(pairs: np.ndarray) -> np.ndarray:
+    return (pairs * np.uint32(0x9E3779B1)) >> np.uint32(32 - SLOT_BITS)
+
+
 def compress(ids: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray, list[int]]:
     """Symbols, document ends (exclusive) among them, and rules. A document's last symbol never joins the next document's first."""
     symbols = ids.astype(np.uint32)
@@ -72,17 +76,18 @@ def compress(ids: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray,
         if not chosen:
             break
         known = np.array(chosen, np.uint32)
-        by = np.argsort(known)
-        place = np.minimum(np.searchsorted(known[by], pair), len(known) - 1)
-        hit = known[by][place] == pair
-        hit &= ~last[:-1]
-        at = np.flatnonzero(hit)
-        symbols[at] = TERMINALS + len(rules) + by[place[at]]
+        slots, numbers = np.unique(slot(known), return_index=True)  # of pairs in one slot the rarer waits for the next round
+        known = known[numbers]
+        table = np.zeros(1 << SLOT_BITS, np.uint16)
+        table[slots] = np.arange(len(known))
+        place = table[slot(pair)]
+        at = np.flatnonzero((known[place] == pair) & ~last[:-1])
+        symbols[at] = TERMINALS + len(rules) + place[at]
         last[at] = last[at + 1]
         keep = np.ones(len(symbols), bool)
         keep[at + 1] = False
         symbols, last = symbols[keep], last[keep]
-        rules += chosen
+        rules += known.tolist()
     return symbols.astype(np.uint16), np.flatnonzero(last) + 1, rules
 
 
