@@ -22,7 +22,7 @@ from vitrine.operators.components import components
 
 SHINGLE_WORDS = 5
 TREES, DEPTH, MIN_DEPTH = 16, 8, 3
-REGION_ROWS = 48
+REGION_ROWS = 12
 BLOCK_ROWS = 1024
 FACTORS = odd_numbers(TREES * DEPTH, 11)
 KEY_BYTES = 1 + 4 * DEPTH
