@@ -49,8 +49,8 @@ def test_non_physical(spark):
     rows = [("Shoe", "", "10"), ("Theme pack", "", "10"), ("Sac", "x" * 600 + " plugin", "10"), ("éapi", "", "1500,01"),
             ("appé", "", "dear")]
     df = spark.createDataFrame(rows, "title string, description string, price string")
-    assert {r.title for r in L.drop_non_physical(df).collect()} == {"Shoe", "Sac", "appé"}
-    assert {r.title for r in L.drop_non_physical(df, None).collect()} == {"Shoe", "appé"}
+    assert {r.title for r in L.drop_non_physical(df, L.DESCRIPTION_LEAD).collect()} == {"Shoe", "Sac", "appé"}
+    assert {r.title for r in L.drop_non_physical(df).collect()} == {"Shoe", "appé"}
 
 
 def test_text(spark):

@@ -31,11 +31,11 @@ def has_non_physical_word(text: Column) -> Column:
     return F.lower(text).rlike(r"(?U)\b(" + "|".join(NON_PHYSICAL_WORDS) + r")\b")
 
 
-def drop_non_physical(df: DataFrame, lead: int | None = DESCRIPTION_LEAD) -> DataFrame:
+def drop_non_physical(df: DataFrame, lead: int | None = None) -> DataFrame:
     """Drop software, services and prices over the ceiling.
 
-    An unparseable price is kept. `lead` bounds how much of the description is
-    judged, as a late mention says little; None judges all of it.
+    An unparseable price is kept. All of the description is judged; a caller that
+    holds a late mention for meaningless gives the `lead` that counts.
     """
     def text(c: str) -> Column:
         return F.coalesce(F.col(c), F.lit("")) if c in df.columns else F.lit("")

@@ -161,7 +161,7 @@ def _(spark, sf_dir):
 
 @REG.query("supervised_run")
 def _(spark, sf_dir):
-    return M.run(stage_of(scored(spark, sf_dir), "scored"), folds=0)["comparison"]
+    return M.run(stage_of(scored(spark, sf_dir), "scored"))["comparison"]
 
 
 # --- clustering --------------------------------------------------------------------------
@@ -300,5 +300,4 @@ def _(spark, sf_dir):
     raw = products(spark, sf_dir).select(
         "product_id", "title", "description", "category", "brand", "platform", "currency", "_source_file",
         *[F.col(c).cast("string").alias(c) for c in ("price", "rating", "review_count", "stock_quantity")])
-    settings = full_run.Settings(folds=0, eps=(0.5,))
-    return full_run.run(spark, raw, fresh_path(spark, "run"), settings)["metrics"]
+    return full_run.run(spark, raw, fresh_path(spark, "run"))["metrics"]
