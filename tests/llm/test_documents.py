@@ -163,6 +163,19 @@ def test_lines_by_brute_force(spark, documents, corpus):
     assert {(r["doc_id"], r["at"]): r["kept"] for r in fuzzy_lines.line_decisions(documents).collect()} == want
 
 
+def test_line_votes_of_every_width(spark):
+    import xxhash
+
+    lines = [" ".join(["same"] * (n - n // 3) + [f"w{chr(97 + i % 26)}{chr(97 + i // 26 % 26)}" for i in range(n // 3)]) for n in (5, 127, 128, 32_767, 32_768, 40_001)]
+    docs = spark.createDataFrame([(0, "\n".join(lines))], "doc_id long, text string")
+    got = {r["at"]: r["simhash"] & (1 << 64) - 1 for r in fuzzy_lines.hashed_lines(docs).collect()}
+    want = {}
+    for at, line in enumerate(lines):
+        votes = [xxhash.xxh64_intdigest(w, 42) for w in line.split()]
+        want[at] = sum(1 << b for b in range(64) if 2 * sum(v >> b & 1 for v in votes) > len(votes))
+    assert got == {at: v for at, v in want.items() if len(lines[at]) >= fuzzy_lines.MIN_CHARS}
+
+
 def test_line_stage_keeps_columns(spark, odd, empty):
     out = fuzzy_lines.without_lines(odd)
     assert out.columns == odd.columns and out.count() == odd.count()
