@@ -328,3 +328,28 @@ def test_ids_of_odd_rows(spark, odd, odd_rows, empty):
     assert all(a + n == b for (a, n), (b, _) in zip(spans, spans[1:])) and spans[0][0] == 0
     assert sum_squares_packing.pack_documents(odd).filter("offset = 0").count() > 0
     assert repair_ids.round_trip(empty).count() == 0 and sum_squares_packing.pack_documents(empty).count() == 0
+
+
+def test_lines_by_edit_similarity_alone(spark, documents):
+    """Every pair at the edit similarity is in one group, whatever its hashes are."""
+    lines = fuzzy_lines.written(fuzzy_lines.lines_of(documents).filter("norm <> ''").select("norm").distinct().repartition(16), "norms")
+    x, y = lines.selectExpr("norm as x"), lines.selectExpr("norm as y")
+    allowed = "cast(greatest(length(x), length(y)) div 10 as int)"
+    pairs = x.join(y, (x["x"] < y["y"])).filter(f"abs(length(x) - length(y)) <= {allowed}").filter(f"levenshtein(x, y, {allowed}) >= 0").collect()
+    hashed = fuzzy_lines.written(fuzzy_lines.hashed_lines(documents), "lines")
+    roots = {bytes(r["node"]): bytes(r["root"]) for r in fuzzy_lines.line_groups(hashed, documents).collect()}
+    keys = [[hashlib.md5(t.encode()).digest() for t in pair] for pair in pairs]
+    assert len(keys) > 20 and all(a in roots and roots[a] == roots.get(b) for a, b in keys)
+
+
+def test_a_word_replaced_and_short_repeats(spark):
+    texts = []
+    for n in (5, 8, 12, 15, 20, 40, 200):
+        words = prose(300 + n, n).translate(str.maketrans("0123456789", "abcdefghij")).split()
+        for at in {0, n // 2, n - 1}:
+            texts += [" ".join(words), " ".join([*words[:at], words[at][:-1] + "z", *words[at + 1:]])]
+    docs = spark.createDataFrame([(i, t) for i, t in enumerate([*texts, "Les.", "les", "...", "..."])], "doc_id long, text string")
+    kept = {r["doc_id"] for r in fuzzy_lines.line_decisions(docs).filter("kept").collect()}
+    assert len(kept) == 8  # one of each length, and one short line
+    assert {r["doc_id"]: r["n_removed"] for r in fuzzy_lines.dedup_lines(docs).filter(f"doc_id >= {len(texts)}").collect()} == {
+        len(texts): 0, len(texts) + 1: 1, len(texts) + 2: 0, len(texts) + 3: 0}
