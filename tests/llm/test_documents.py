@@ -115,6 +115,17 @@ def test_crowd_of_near_copies(spark):
     assert {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in got} == want
 
 
+@pytest.mark.parametrize("percent, core, own_pair, own", [(80, 159, 1, 20), (85, 169, 1, 15)])
+def test_crowd_of_many_components(spark, percent, core, own_pair, own):
+    """Pairs exactly at the threshold, all of them in regions that their likeness to the other pairs crowds."""
+    head = [f"c{i}" for i in range(core + 4)]
+    texts = [(2 * p + d, " ".join([*head, *[f"p{p}x{i}" for i in range(own_pair)], *[f"d{p}x{d}x{i}" for i in range(own)]]))
+             for p in range(200) for d in range(2)]
+    assert 100 * (core + own_pair) == percent * (core + own_pair + 2 * own)
+    got = minhash_forest.near_duplicates(spark.createDataFrame(texts, "doc_id long, text string"), percent).collect()
+    assert {r["doc_id"]: r["component_id"] for r in got} == {i: i - i % 2 for i, _ in texts}
+
+
 def test_near_duplicates_of_odd_rows(spark, odd, empty):
     got = collections.defaultdict(list)
     for r in minhash_forest.near_duplicates(odd).collect():

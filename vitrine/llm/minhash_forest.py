@@ -3,11 +3,13 @@
 Every distinct shingle set gets one signature per tree. The rows of a tree are
 sorted, and neighbours in that order with a long common prefix are candidates;
 they are confirmed on the full sets. Regions that still hold several components
-are searched again with a prefix as deep as the crowd in them asks for.
+are searched again with a prefix as deep as the crowd in them asks for, and sets in
+such crowds in as many further trees as make up for the depth.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -50,11 +52,11 @@ def fingerprint(members: np.ndarray) -> bytes:
     return xxhash.xxh3_128_digest(members.tobytes())
 
 
-def signature(members: np.ndarray) -> bytes:
+def signature(members: np.ndarray, factors: np.ndarray = FACTORS) -> bytes:
     """The upper halves of the smallest member under each of the multiplications."""
-    low = np.full(len(FACTORS), np.iinfo(np.uint64).max, np.uint64)
+    low = np.full(len(factors), np.iinfo(np.uint64).max, np.uint64)
     for i in range(0, len(members), BLOCK_ROWS):
-        np.minimum(low, (members[i:i + BLOCK_ROWS, None] * FACTORS).min(axis=0), out=low)
+        np.minimum(low, (members[i:i + BLOCK_ROWS, None] * factors).min(axis=0), out=low)
     return (low >> np.uint64(32)).astype(">u4").tobytes()
 
 
@@ -181,8 +183,42 @@ def merged(roots: DataFrame | None, links: DataFrame) -> DataFrame | None:
     return written(old.unionByName(above).groupBy("node").agg(F.min("root").alias("root")), "roots")
 
 
-def crowded_pairs(rows: DataFrame, roots: DataFrame | None, tested: DataFrame) -> DataFrame:
-    """Untested pairs between different components of one region.
+def further_trees(percent: int) -> int:
+    """Trees of full depth, besides the first, that find a pair at the threshold as surely as TREES trees of MIN_DEPTH."""
+    if not 0 < percent < 100:
+        return 0
+    p = percent / 100
+    return max(0, math.ceil(TREES * math.log1p(-p ** MIN_DEPTH) / math.log1p(-p ** DEPTH)) - TREES)
+
+
+def further_rows(trees: int):
+    """A value of each further tree's whole key, for every set."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        factors = odd_numbers(trees * DEPTH, 13)
+        for batch in batches:
+            keys, fps = [], []
+            for fp, own in zip(batch.column("fp").to_pylist(), batch.column("members").to_pylist()):
+                sig = signature(np.frombuffer(own, np.uint64), factors)
+                keys += [xxhash.xxh3_128_digest(bytes((t & 255, t >> 8)) + sig[4 * DEPTH * t:4 * DEPTH * (t + 1)]) for t in range(trees)]
+                fps += [fp] * trees
+            yield batch_of(ROWS, key=keys, fp=fps)
+    return run
+
+
+def further_pairs(crowd: DataFrame, sets: DataFrame, roots: DataFrame | None, tested: DataFrame, percent: int) -> DataFrame:
+    """Untested pairs between different components that share a key of a further tree, among the sets of crowded regions."""
+    rows = sets.join(crowd, "fp", "left_semi").mapInArrow(further_rows(further_trees(percent)), "key binary, fp binary")
+    placed = written(rooted(rows, roots, "fp"), "further")
+    several = placed.groupBy("key").agg(F.min("r_fp").alias("lo"), F.max("r_fp").alias("hi")).filter("lo < hi").select("key")
+    left = placed.join(several, "key", "left_semi")
+    x = left.select("key", F.col("fp").alias("a"), F.col("r_fp").alias("ra"))
+    y = left.select("key", F.col("fp").alias("b"), F.col("r_fp").alias("rb"))
+    pairs = x.join(y, "key").filter("ra < rb").select(*ordered()).distinct()
+    return written(pairs.join(tested, ["a", "b"], "left_anti"), "further-pairs")
+
+
+def crowded_pairs(rows: DataFrame, roots: DataFrame | None, tested: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Untested pairs between different components of one region, and the sets in regions that took a deeper prefix.
 
     A region is a prefix of one tree: MIN_DEPTH values, or as many more as it takes
     to have at most REGION_ROWS rows; the deepest prefix holds what is left, whole.
@@ -196,12 +232,13 @@ def crowded_pairs(rows: DataFrame, roots: DataFrame | None, tested: DataFrame) -
     depths = left.select("*", F.explode(F.sequence(F.lit(MIN_DEPTH), F.lit(DEPTH))).alias("k")).withColumn(
         "region", F.expr("substring(key, 1, 1 + 4 * k)"))
     sizes = depths.groupBy("region").agg(F.count(F.lit(1)).alias("n"))
-    chosen = depths.join(sizes, "region").filter((F.col("n") <= REGION_ROWS) | (F.col("k") == DEPTH)).groupBy("key", "fp", "r_fp").agg(
-        F.min("k").alias("k")).select(F.expr("substring(key, 1, 1 + 4 * k)").alias("region"), "fp", "r_fp")
+    chosen = written(depths.join(sizes, "region").filter((F.col("n") <= REGION_ROWS) | (F.col("k") == DEPTH)).groupBy("key", "fp", "r_fp").agg(
+        F.min("k").alias("k")).select(F.expr("substring(key, 1, 1 + 4 * k)").alias("region"), "fp", "r_fp", "k"), "chosen")
     x = chosen.select("region", F.col("fp").alias("a"), F.col("r_fp").alias("ra"))
     y = chosen.select("region", F.col("fp").alias("b"), F.col("r_fp").alias("rb"))
     pairs = x.join(y, "region").filter("ra < rb").select(*ordered()).distinct()
-    return written(pairs.join(tested.select("a", "b"), ["a", "b"], "left_anti"), "crowded")
+    return (written(pairs.join(tested.select("a", "b"), ["a", "b"], "left_anti"), "crowded"),
+            written(chosen.filter(F.col("k") > MIN_DEPTH).select("fp").distinct(), "crowd"))
 
 
 def near_duplicates(docs: DataFrame, percent: int = 85) -> DataFrame:
@@ -212,7 +249,8 @@ def near_duplicates(docs: DataFrame, percent: int = 85) -> DataFrame:
     pairs. No text or no words: an empty set, linked with nothing. A null doc_id:
     never linked, component_id null, kept true. Rows repeating a doc_id are judged
     one by one. Two documents at the threshold share a prefix of three values in
-    at least one of 16 trees with probability 1 - 2e-7.
+    at least one of 16 trees with probability 1 - 2e-7 at 85 and 1 - 1.1e-5 at 80
+    percent; in crowded regions further trees keep to the same bound.
     """
     source = texts(docs)
     signed = written(source.mapInArrow(sign, "doc_id long, n_shingles long, fp binary, sig binary"), "signed")
@@ -229,8 +267,11 @@ def near_duplicates(docs: DataFrame, percent: int = 85) -> DataFrame:
     roots = merged(None, verified(best.select(*ordered()).distinct(), sets, percent))
     apart = rooted(pairs, roots, "a", "b").filter("r_a <> r_b").select("a", "b")
     roots = merged(roots, verified(apart.join(best.select(*ordered()).distinct(), ["a", "b"], "left_anti"), sets, percent))
-    crowd = crowded_pairs(wanted.select("fp", "sig").mapInArrow(tree_rows, "key binary, fp binary"), roots, pairs)
-    roots = merged(roots, verified(crowd, sets, percent))
+    found, crowd = crowded_pairs(wanted.select("fp", "sig").mapInArrow(tree_rows, "key binary, fp binary"), roots, pairs)
+    roots = merged(roots, verified(found, sets, percent))
+    if further_trees(percent) and not crowd.isEmpty():
+        tested = pairs.select("a", "b").unionByName(found)
+        roots = merged(roots, verified(further_pairs(crowd, sets, roots, tested, percent), sets, percent))
     placed = rooted(signed.select("doc_id", "n_shingles", "fp"), roots, "fp")
     lowest = placed.filter("fp is not null and doc_id is not null").groupBy("r_fp").agg(F.min("doc_id").alias("lowest"))
     return placed.join(lowest, "r_fp", "left").select(
