@@ -144,6 +144,27 @@ def test_licences(spark):
         assert (got[i]["score"] > 0) == bool(labels) and got[i]["score"] <= 1
 
 
+def test_notices_without_their_rarest_words():
+    """Any words may be missing, as many as the share allows; the index finds what a search of every place does."""
+    rng = np.random.default_rng(5)
+    index = license_index.Index.build({b"license": 900, b"the": 5000, b"software": 70})
+    whole = license_index.Index(index.templates, {}, index.base)
+    whole.candidates = lambda words: {(n, s) for n in range(len(index.templates)) for s in range(-30, len(words) + 2)}
+    for label, template, phrase in index.templates:
+        probes = {at for p in index.postings.values() for n, at in p if index.templates[n][1] is template}
+        at = next(i for i in range(len(template)) if template[i:i + len(phrase)] == phrase)
+        able = [i for i in range(len(template)) if not at <= i < at + len(phrase)]
+        for k in range(20):
+            order = sorted(able, key=lambda i: (i not in probes, rng.random())) if k else able
+            gone = set(order[:int(0.3 * len(template) + 1e-9)])
+            words = [b"x"] * 40 + [b"missing" if i in gone else w for i, w in enumerate(template)] + [b"y"] * 40
+            found = index.verified(words)
+            assert found == whole.verified(words) and label in found
+    text = ("You may not use this work unless in accordance with the License. You may obtain a copy of the License at "
+            "http www apache org licenses LICENSE-2.0")
+    assert "apache-2.0" in license_index.Index.build({}).verified(license_index.split(text))
+
+
 def test_base_places(documents, corpus):
     got = {r["doc_id"]: r for r in license_index.scan_licences(documents).collect()}
     phrases = [p.split() for p, _ in license_index.PHRASES]

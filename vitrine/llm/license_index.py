@@ -1,9 +1,10 @@
 """Licence scan with a positional index of rare words.
 
-The words of licence texts are indexed by template and position. The rarest words of
-each template in the corpus are its probes; probes found in a file vote for a template
-at a relative position, and a place with enough votes is verified word by word and by
-the template's mandatory phrase.
+The words of licence texts are indexed by template and position. The rarest places of
+each template in the corpus are its probes, so many that any notice with MIN_SHARE of
+the words keeps MIN_VOTES of them; probes found in a file vote for a template at a
+relative position, and a place with enough votes is verified word by word and by the
+template's mandatory phrase.
 """
 
 from __future__ import annotations
@@ -50,7 +51,7 @@ TEMPLATES = (
     ("mpl-2.0", "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0", "mozilla public license"),
     ("unlicense", "This is free and unencumbered software released into the public domain", "free and unencumbered software"),
 )
-PROBES, MIN_VOTES = 4, 2
+MIN_VOTES = 2
 SHIFT = 2  # words by which a place may drift inside a notice
 MIN_SHARE, BASE_SCORE = 0.7, 0.5
 SCANNED = pa.schema([("doc_id", pa.int64()), ("n_words", pa.int64()), ("n_base", pa.int64()), ("first_word", pa.int64()), ("last_word", pa.int64()),
@@ -58,6 +59,11 @@ SCANNED = pa.schema([("doc_id", pa.int64()), ("n_words", pa.int64()), ("n_base",
 SCANNED_SCHEMA = "doc_id long, n_words long, n_base long, first_word long, last_word long, base_labels string, labels string, score double"
 
 
+def probes(length: int) -> int:
+    """Places of a template of which MIN_VOTES stand in any notice with MIN_SHARE of them."""
+    return min(length, sum(missing / length <= 1 - MIN_SHARE + 1e-9 for missing in range(1, length)) + MIN_VOTES)
+
+
 def split(text: str) -> list[bytes]:
     return folded_words(text.encode())
 
@@ -70,14 +76,13 @@ class Index:
 
     @classmethod
     def build(cls, holders: dict[bytes, int]) -> Index:
-        """Postings of each template's rarest words; `holders` has the documents with a word."""
+        """Postings of each template's rarest places; `holders` has the documents with a word."""
         templates = [(label, split(text), split(phrase)) for label, text, phrase in TEMPLATES]
         postings: dict[bytes, list[tuple[int, int]]] = {}
         for number, (_, words, _) in enumerate(templates):
-            rare = sorted(set(words), key=lambda w: (holders.get(w, 0), w))[:PROBES]
-            for at, word in enumerate(words):
-                if word in rare:
-                    postings.setdefault(word, []).append((number, at))
+            rare = sorted(range(len(words)), key=lambda at: (holders.get(words[at], 0), words[at], at))[:probes(len(words))]
+            for at in sorted(rare):
+                postings.setdefault(words[at], []).append((number, at))
         base: dict[bytes, list[tuple[list[bytes], str]]] = {}
         for phrase, label in PHRASES:
             base.setdefault(split(phrase)[0], []).append((split(phrase), label))
@@ -94,14 +99,14 @@ class Index:
         return out
 
     def candidates(self, words: list[bytes]) -> set[tuple[int, int]]:
-        """Templates and starts at which two different probes agree, give or take SHIFT words."""
+        """Templates and starts at which MIN_VOTES different probes agree, give or take SHIFT words."""
         if self.postings.keys().isdisjoint(words):
             return set()
-        votes: dict[tuple[int, int], set[bytes]] = {}
+        votes: dict[tuple[int, int], set[int]] = {}
         for i, word in enumerate(words):
             for number, at in self.postings.get(word, ()):
                 for drift in range(-SHIFT, SHIFT + 1):
-                    votes.setdefault((number, i - at + drift), set()).add(word)
+                    votes.setdefault((number, i - at + drift), set()).add(at)
         return {k for k, v in votes.items() if len(v) >= MIN_VOTES}
 
     def verified(self, words: list[bytes]) -> dict[str, float]:
