@@ -236,6 +236,13 @@ def test_gradients_by_differences():
             assert abs((up - down) / 2e-5 - found[name][at]) < 1e-6
 
 
+def test_scripts_are_read_to_their_end_tag():
+    script = "for(i=0;i<n;i++){f('<p>', \"it's\")} if (a<b && c) x = '<!-- '"
+    page = f"<body><SCRIPT type=a>{script}</Script ><article><p>One.</p><svg><style>a<b{{}}</style><path d='x'/></svg><p>Two.</p></article>" \
+           f"<style>p<q {{}} </styles></style><p>Three.</p><script src=x></script><p>Four.</p><script>{script}</script><p>Five.</p><script>a<b"
+    assert [x.text for x in block_lstm.leaves(page)] == ["One.", "Two.", "Three.", "Four.", "Five."]
+
+
 def test_odd_pages(spark):
     schema = "page_id long, url string, html string, text string, n_chars string"
     rows = [(1, None, None, "x", "y"), (2, "u", "", "x", "y"), (None, "u", "<p>no end", "x", "y"), (4, "u", "<" * 500 + "&#x;&bad;" + "<p " * 50, "x", "y"),
