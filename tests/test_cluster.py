@@ -99,6 +99,16 @@ def test_silhouette_on_cells_stays_close(spark):
     assert got["silhouette"] == pytest.approx(brute_silhouette(points, labels, False), abs=0.02)
 
 
+def test_silhouette_is_exact_beyond_the_listed_vectors(spark):
+    points = np.random.default_rng(3).normal(size=(8_300, 1))
+    points[-50:] = points[:50]
+    labels = np.append(np.arange(len(points) - 1) % 3, 7)
+    df = spark.createDataFrame([(float(p), int(c)) for (p,), c in zip(points, labels)], "x double, c int")
+    got = H.silhouette(df, ["x"], "c").first()
+    assert (got["clusters"], got["n"], got["radius"]) == (4, len(points), 0.0)
+    assert got["silhouette"] == pytest.approx(brute_silhouette(points, labels, False), abs=1e-9)
+
+
 def test_silhouette_of_one_cluster(spark):
     df = spark.createDataFrame([(1.0, 0), (2.0, 0), (9.0, -1)], "x double, c int")
     assert H.silhouette(df, ["x"], "c", noise=-1).first()["silhouette"] == -1.0
