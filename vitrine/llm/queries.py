@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
-from vitrine.llm import (block_lstm, fuzzy_lines, latent_leaks, license_index, minhash_forest, repair_ids, robust_quality, suffix_dedup,
-                         sum_squares_packing, toxic_crf)
+from vitrine.llm import (block_lstm, count_bitmaps, fuzzy_lines, latent_leaks, license_index, minhash_forest, ngram_bayes, repair_ids,
+                         robust_quality, suffix_dedup, sum_squares_packing, toxic_crf, walsh_codes)
+from vitrine.llm import queries_sql as sql
 from vitrine.llm.common import table
 from vitrine.plans.registry import Registry
 
@@ -58,3 +59,18 @@ def op6(spark, sf_dir):
 @REG.query("op7_license_index")
 def op7(spark, sf_dir):
     return license_index.scan_licences(table(spark, sf_dir, "documents"))
+
+
+@REG.query("op11_count_bitmaps", sql.DIVERGENCE)
+def op11(spark, sf_dir):
+    return count_bitmaps.divergence(table(spark, sf_dir, "documents"))
+
+
+@REG.query("op12_walsh_codes", sql.CODES)
+def op12(spark, sf_dir):
+    return walsh_codes.encode(table(spark, sf_dir, "embeddings"))
+
+
+@REG.query("op13_ngram_bayes")
+def op13(spark, sf_dir):
+    return ngram_bayes.predict(table(spark, sf_dir, "documents"))
