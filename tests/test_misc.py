@@ -1,6 +1,8 @@
+import os
 from datetime import datetime
 
 import pytest
+from pyspark.errors import StreamingQueryException
 from pyspark.sql import functions as F
 
 from vitrine.functions import text as T
@@ -128,6 +130,66 @@ def test_raw_batches_and_stream_agree(spark):
     assert now.count() == 3 and now.filter("product_id = '2'").first().price == "9"
 
 
+def csv_file(folder, name, *lines):
+    os.makedirs(folder, exist_ok=True)
+    with open(f"{folder}/{name}", "w", encoding="utf-8") as f:
+        f.write("\n".join(lines) + "\n")
+
+
+def folders(table):
+    return {(int(v[8:]), int(b[7:])) for v in os.listdir(f"{table}/buckets=8") for b in os.listdir(f"{table}/buckets=8/{v}") if b.startswith("bucket=")}
+
+
+def test_stream_takes_columns_by_name_and_rewrites_touched_buckets(spark, tmp_path):
+    raw_dir, sink, state = (str(tmp_path / n) for n in ("raw", "table", "state"))
+
+    def ingested():
+        ingest.start_ingest(spark, raw_dir, sink, state, buckets=8).awaitTermination()
+        return {r.product_id: r for r in ingest.current(spark, sink).collect()}
+
+    csv_file(raw_dir, "a.csv", "product_id,title,price", *[f"{i},t{i},{i}.5" for i in range(40)])
+    csv_file(raw_dir, "b.csv", "extra,price,title,product_id", "x,99,t1,1", 'y,"7,5",t50,50')
+    first = ingested()
+    assert len(first) == 41 and first["1"].price == "99" and first["1"].extra == "x" and first["50"].price == "7,5" and first["2"].extra is None
+    assert first["2"].brand is None and set(RAW_FIELDS) < set(first["2"].asDict())
+    before = folders(sink)
+    assert {v for v, _ in before} == {0} and ingested() == first and folders(sink) == before
+    csv_file(raw_dir, "c.csv", "title,product_id", "t2,2")
+    csv_file(raw_dir, "Z.csv", "title,product_id,brand", "t3,3,late")  # sorts before a.csv: its row is older than what is held
+    second = ingested()
+    assert second["2"].price is None and second["3"].price == "3.5" and second["3"].brand is None and second["50"] == first["50"]
+    touched = {b for v, b in folders(sink) if v == 1}
+    assert 1 <= len(touched) <= 2 and folders(sink) - {(1, b) for b in touched} == before
+    assert {r.product_id for b in range(8) for r in ingest.current(spark, sink, [b]).collect()} == set(second)
+    with pytest.raises(StreamingQueryException, match="another checkpoint"):
+        ingest.start_ingest(spark, raw_dir, sink, str(tmp_path / "other"), buckets=8).awaitTermination()
+
+
+def test_replayed_and_unfinished_versions(spark, tmp_path):
+    table = str(tmp_path / "table")
+
+    def rows(*values):
+        return spark.createDataFrame([(i and str(i), f"t{i}", price, path, 0, 0) for i, price, path in values],
+                                     "product_id string, title string, price string, _path string, _block long, _row long")
+
+    def held():
+        return {r.product_id: r.price for r in ingest.current(spark, table).collect()}
+
+    ingest.upsert(rows((1, "a", "f1"), (2, "a", "f1")), table, 0, 4)
+    ingest.upsert(rows((1, "b", "f2")), table, 1, 4)
+    assert held() == {"1": "b", "2": "a"}
+    # The write of version 2 breaks off: readers still see version 1, and the replay starts from it.
+    (bucket,) = ingest.upsert(rows((1, "broken", "f3")), table, 2, 4)
+    os.remove(f"{table}/buckets=4/version=2/_SUCCESS")
+    assert held() == {"1": "b", "2": "a"}
+    assert ingest.upsert(rows((1, "c", "f3")), table, 2, 4) == [bucket] and held() == {"1": "c", "2": "a"}
+    assert ingest.upsert(rows((1, "c", "f3")), table, 2, 99) == [bucket] and held() == {"1": "c", "2": "a"}
+    ingest.upsert(rows((1, "d", "f4")), table, 3, 4)
+    assert ingest.vacuum(spark, table) >= 1 and held() == {"1": "d", "2": "a"}
+    ingest.upsert(rows((1, "e", "f4"), (None, "n", "f4")), table, 3, 4)
+    assert held() == {"1": "e", "2": "a", None: "n"}
+
+
 def test_quoted_text_survives(spark):
     root = raw_batches(spark)
     rows = raw.read_raw(spark, root + "/shopify*.csv/*.csv")

@@ -1,8 +1,12 @@
+import itertools
 import math
+import random
+from collections import Counter
 
 import pytest
 from pyspark.sql import functions as F
 
+from vitrine.operators import itemsets as I
 from vitrine.operators import rules as R
 
 # Supports of published rules and the metrics that follow from them.
@@ -71,3 +75,27 @@ def test_strength_and_labels(spark):
 def test_unknown_metric_means_lift(spark):
     rules = R.pair_rules(baskets(spark, [("a", "b")] * 6 + [("c", "d")] * 9 + [("e",)] * 9))
     assert R.top_rules(rules, "nope", 1).first()["antecedents"] == "a"
+
+
+def brute_itemsets(baskets, least, longest):
+    counts = Counter(s for b in baskets for k in range(1, longest + 1) for s in itertools.combinations(sorted({x for x in b if x is not None}), k))
+    return {s: n for s, n in counts.items() if n / len(baskets) >= max(least, 5 / len(baskets))}
+
+
+@pytest.mark.parametrize("least,longest", [(0.02, None), (0.1, 3), (0.9, None), (0.02, 1)])
+def test_itemsets_by_brute_force(spark, least, longest):
+    rng = random.Random(5)
+    # A third of all baskets are alike, some are empty or hold nulls and repeats.
+    baskets = [["a", "b", "c", "d", "e"]] * 100 + [[], None, [None], ["a", "a", None, "b"]]
+    baskets += [rng.sample("abcdefgh", rng.randrange(1, 7)) for _ in range(200)]
+    df = spark.createDataFrame(list(enumerate(baskets)), "transaction_id int, items array<string>").repartition(3)
+    got = {tuple(r["items"]): (r["n"], r["length"], r["support"]) for r in I.frequent_itemsets(df, least, longest).collect()}
+    want = brute_itemsets([b or [] for b in baskets], least, longest or 8)
+    assert got == {s: (n, len(s), n / len(baskets)) for s, n in want.items()}
+    pairs = {(r["a"], r["b"]): r["n_pair"] for r in R.itemset_counts(R.baskets_from_long(R.to_long(df), least), least)[1].collect()}
+    if longest != 1 and least > 0.05:
+        assert pairs == {s: n for s, (n, k, _) in got.items() if k == 2}
+
+
+def test_itemsets_of_nothing(spark):
+    assert I.frequent_itemsets(spark.createDataFrame([], "transaction_id int, items array<string>")).count() == 0

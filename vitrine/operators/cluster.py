@@ -11,7 +11,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from vitrine.operators.silhouette import silhouette
+from vitrine.operators.silhouette import TOLERANCE, silhouette
 from vitrine.schema import CLUSTER_FEATURES, available
 from vitrine.session import together
 
@@ -66,13 +66,13 @@ def kmeans(df: DataFrame, k: int = 3, features: Sequence[str] | None = None, see
 
 
 def sweep_k(df: DataFrame, ks: Sequence[int] = CANDIDATE_K, features: Sequence[str] | None = None,
-            seed: int = 42, squared: bool = False) -> tuple[DataFrame, dict[int, float]]:
-    """K-means for every k, keeping the labels of the best silhouette; scores by k."""
+            seed: int = 42, squared: bool = False, tolerance: float = TOLERANCE) -> tuple[DataFrame, dict[int, float]]:
+    """K-means for every k, keeping the labels of the best silhouette; scores by k, Euclidean ones within the tolerance."""
     names = list(features or available(df, CLUSTER_FEATURES))
 
     def attempt(k: int) -> tuple[DataFrame, float]:
         out = kmeans(df, k, names, seed)
-        return out, silhouette(out, names, squared=squared).first()["silhouette"]
+        return out, silhouette(out, names, squared=squared, tolerance=tolerance).first()["silhouette"]
 
     done = dict(zip(ks, together([partial(attempt, k) for k in ks])))
     scores = {k: value for k, (_, value) in done.items()}

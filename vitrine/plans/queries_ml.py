@@ -241,6 +241,19 @@ def _(spark, sf_dir):
     return shown(H.silhouette(clustered(spark, sf_dir), NORM_COLUMNS))
 
 
+CERTIFIED_SQL = silhouette_sql(CLUSTERED_SQL, NORM_ROWS, f"sqrt({NORM_SQUARE})")
+
+
+@REG.query("silhouette_certified", f"SELECT clusters, n, true AS within_bound, true AS narrow FROM ({CERTIFIED_SQL})")
+def _(spark, sf_dir):
+    """The bound of a coarse enclosure against the exact value."""
+    df = stage_of(clustered(spark, sf_dir).select("cluster_kmeans", *NORM_COLUMNS), "clustered")
+    exact = H.silhouette(df, NORM_COLUMNS).first()["silhouette"]
+    coarse = H.silhouette(df, NORM_COLUMNS, tolerance=0.01, leaves=1_024)
+    return coarse.select("clusters", "n", (F.abs(F.col("silhouette") - exact) <= F.col("error_bound") + 1e-9).alias("within_bound"),
+                         F.col("error_bound").between(1e-6, 0.05).alias("narrow"))
+
+
 @REG.query("silhouette_embeddings", silhouette_sql(
     "e AS (SELECT vec_id, label, embedding::DOUBLE[64] AS v FROM embeddings)", "SELECT vec_id AS id, label, v FROM e",
     "array_distance(p.v, o.v)"))
@@ -249,11 +262,12 @@ def _(spark, sf_dir):
     return shown(H.silhouette(df, names, "label"))
 
 
-def dbscan_sql(eps: float, min_samples: int) -> str:
+def dbscan_sql(eps: float, min_samples: int, features=NORM_COLUMNS) -> str:
     e2 = repr(eps * eps)
+    square = " + ".join(f"(p.{c} - o.{c}) * (p.{c} - o.{c})" for c in features)
     return f"""WITH RECURSIVE {FEATURED_SQL}, pts AS MATERIALIZED (
-  SELECT product_id AS id, {', '.join(NORM_COLUMNS)} FROM featured
-), near AS MATERIALIZED (SELECT p.id AS a, o.id AS b FROM pts p, pts o WHERE {NORM_SQUARE} <= {e2}
+  SELECT product_id AS id, {', '.join(features)} FROM featured
+), near AS MATERIALIZED (SELECT p.id AS a, o.id AS b FROM pts p, pts o WHERE {square} <= {e2}
 ), core AS MATERIALIZED (SELECT a AS id FROM near GROUP BY a HAVING count(*) >= {min_samples}
 ), links AS MATERIALIZED (SELECT a, b FROM near WHERE a IN (FROM core) AND b IN (FROM core) AND a <> b
 ), cc(id, root) USING KEY (id) AS (
@@ -279,6 +293,11 @@ def _(spark, sf_dir):
     return dbscan(stage_of(featured(spark, sf_dir), "featured"), NORM_COLUMNS, 0.1).select("product_id", "cluster_dbscan")
 
 
+@REG.query("dbscan_all_features", dbscan_sql(1.0, 5, CLUSTER_FEATURES))
+def _(spark, sf_dir):
+    return dbscan(stage_of(featured(spark, sf_dir), "featured"), CLUSTER_FEATURES, 1.0).select("product_id", "cluster_dbscan")
+
+
 @REG.query("interpret_segments", f"""WITH {CLUSTERED_SQL}, profile AS (
   SELECT category, {r('avg(price_norm)', 4)} AS p, {r('avg(rating_norm)', 4)} AS rt, {r('avg(stock_quantity_norm)', 4)} AS s
   FROM clustered GROUP BY category)

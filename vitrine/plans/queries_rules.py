@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from vitrine.operators import itemsets as I
 from vitrine.operators import rules as R
 from vitrine.plans.registry import Registry
 from vitrine.sources.demo import CLUSTERED_SQL, clustered, table
@@ -88,6 +89,23 @@ def _(spark, sf_dir):
     return R.itemset_counts(R.transactions(clustered(spark, sf_dir)), 0.003)[0]
 
 
+def itemsets_sql(support: float) -> str:
+    """Sets of one to four brands, by self-joins of the long table."""
+    joins = {k: " ".join(f"JOIN long t{i} ON t{i}.tid = t1.tid AND t{i - 1}.item < t{i}.item" for i in range(2, k + 1)) for k in range(1, 5)}
+    names = {k: " || ', ' || ".join(f"t{i}.item" for i in range(1, k + 1)) for k in range(1, 5)}
+    levels = " UNION ALL ".join(f"SELECT {names[k]} AS items, {k} AS length, count(*) AS n FROM long t1 {joins[k]} GROUP BY 1" for k in joins)
+    return f"""WITH {BRANDS_SQL}, total AS (SELECT count(DISTINCT tid)::DOUBLE AS baskets FROM long), sets AS ({levels})
+  SELECT items, length, n, round(n / baskets, {ROUND}) AS support FROM sets, total
+  WHERE n / baskets >= greatest({support}, 5e0 / greatest(baskets, 1))"""
+
+
+@REG.query("frequent_itemsets", itemsets_sql(0.0003))
+def _(spark, sf_dir):
+    baskets = R.gather(order_baskets(spark, sf_dir).dropDuplicates())
+    return I.frequent_itemsets(baskets, 0.0003, 4).select(
+        F.array_join("items", ", ").alias("items"), "length", "n", F.round("support", ROUND).alias("support"))
+
+
 @REG.query("brand_rules", f"{rules_sql(BRANDS_SQL, 0.01, 0.1, 1.0)} SELECT antecedents, consequents, {METRICS_SQL} FROM rules")
 def _(spark, sf_dir):
     return shown(brand_rules(spark, sf_dir))

@@ -317,11 +317,38 @@ def _(spark, sf_dir):
     return raw.load_raw(spark, write_dirty_batches(spark, sf_dir) + "/*.csv/*.csv").select(*RAW_SHOWN, "_source_file")
 
 
-@REG.query("stream_ingest", RAW_SQL)
+# Batches of the stream: name in the dirty view, rows, and columns in the file's own order.
+STREAM_FIELDS = ("_source_file", "_pos", *RAW_SHOWN)
+NARROW = ("product_id", "title", "price", "brand")
+STREAM_SQL = f"""WITH {DIRTY_SQL}, files AS (
+  SELECT *, _source_file || CASE WHEN _pos % 3 = 0 THEN '3' ELSE '1' END AS file FROM dirty
+), cut AS (
+  SELECT file, _pos, """ + ", ".join(
+    c if c in NARROW else f"CASE WHEN file <> 'b.csv3' THEN {c} END AS {c}" for c in RAW_SHOWN) + f""" FROM files
+), last AS (SELECT * FROM cut QUALIFY row_number() OVER (PARTITION BY product_id, title ORDER BY file DESC, _pos DESC) = 1)
+SELECT """ + ", ".join(f"CASE WHEN {c} NOT IN ({NA_LIST}) THEN {c} END AS {c}" for c in RAW_SHOWN) + f""",
+  'shop_2026010' || CASE file WHEN 'a.csv1' THEN 1 WHEN 'a.csv3' THEN 2 WHEN 'b.csv1' THEN 3 ELSE 4 END || '_000000.csv' AS _source_file
+  FROM last"""
+
+
+def write_stream_batches(spark, sf_dir, root, days):
+    """Parts of the dirty view as raw batches: canonical columns, reversed ones, and only a few."""
+    df = dirty(spark, sf_dir)
+    for name, kind, day, columns in (("a.csv", False, 1, RAW_FIELDS), ("a.csv", True, 2, RAW_SHOWN[::-1]),
+                                     ("b.csv", False, 3, RAW_SHOWN[::-1]), ("b.csv", True, 4, NARROW)):
+        if day in days:
+            rows = df.filter((F.col("_source_file") == name) & ((F.col("_pos") % 3 == 0) == kind)).orderBy("_pos")
+            shown = rows.select(*[F.coalesce(F.col(c), F.lit("")).alias(c) if c in rows.columns else F.lit("").alias(c) for c in columns])
+            path = f"{root}/{raw.batch_name('shop', datetime(2026, 1, day))}.csv"
+            shown.write.mode("overwrite").options(**raw.CSV_WRITE).option("emptyValue", "").csv(path)
+
+
+@REG.query("stream_ingest", STREAM_SQL)
 def _(spark, sf_dir):
-    root = write_dirty_batches(spark, sf_dir)
-    sink = fresh_path(spark, "bronze")
-    ingest.start_ingest(spark, root + "/*.csv", sink, fresh_path(spark, "stream"), max_files=3).awaitTermination()
+    root, sink, state = (fresh_path(spark, name) for name in ("raw", "bronze", "stream"))
+    for days in ((1, 3, 4), (2,)):  # the second day's batch comes last
+        write_stream_batches(spark, sf_dir, root, days)
+        ingest.start_ingest(spark, root + "/*.csv", sink, state, max_files=64, buckets=16).awaitTermination()
     return ingest.current(spark, sink).select(*RAW_SHOWN, "_source_file")
 
 

@@ -7,7 +7,7 @@ import uuid
 from collections.abc import Callable, Sequence
 from concurrent.futures import ThreadPoolExecutor
 
-from pyspark.sql import DataFrame, Row, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, Row, SparkSession
 
 
 PARALLEL_CHAINS = 12
@@ -63,6 +63,13 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def cut_observed(df: DataFrame, value: Column) -> tuple[DataFrame, int]:
+    """`cut_lineage`, and an aggregate of the rows taken while they are written, which costs no job of its own; 0 without rows."""
+    seen = Observation()
+    out = cut_lineage(df.observe(seen, value.cast("long").alias("value")))
+    return out, seen.get["value"] or 0
+
+
 def one_row(df: DataFrame) -> Row:
     """Fetch a global aggregate: exactly one row, so its size does not depend on the
     data. Its values then enter later plans as literals, which keeps those plans
