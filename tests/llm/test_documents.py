@@ -145,9 +145,14 @@ def test_lines_by_brute_force(spark, documents, corpus):
             plain = regex.sub(r"[^\p{L}0]+", " ", line.lower().translate(str.maketrans("123456789", "0" * 9))).strip(" ")
             if len(plain) >= fuzzy_lines.MIN_CHARS:
                 norm[doc_id, at] = plain
-    hashes = {norm[r["doc_id"], r["at"]]: r["simhash"] & (1 << 64) - 1 for r in fuzzy_lines.hashed_lines(documents).collect()}
     lines = sorted(set(norm.values()))
-    values, parent = np.array([hashes[t] for t in lines], np.uint64), list(range(len(lines)))
+    parent = list(range(len(lines)))
+    # An edit removes and adds at most three runs of three characters each: counts of hashed runs that differ by more rule a pair out.
+    runs = np.zeros((len(lines), 4096), np.int16)
+    for i, line in enumerate(lines):
+        codes = np.array([ord(c) for c in f"  {line} "], np.int64)
+        np.add.at(runs[i], (codes[2:] * 131 + codes[1:-1] * 7919 + codes[:-2] * 104729) % 4096, 1)
+    sizes = np.array([len(line) for line in lines])
 
     def find(x):
         while parent[x] != x:
@@ -163,10 +168,11 @@ def test_lines_by_brute_force(spark, documents, corpus):
         return row[-1]
 
     for i in range(len(lines)):
-        for j in (np.flatnonzero(np.bitwise_count(values[i + 1:] ^ values[i]) <= fuzzy_lines.HAMMING) + i + 1).tolist():
-            longest = max(len(lines[i]), len(lines[j]))
-            if distance(lines[i], lines[j]) <= (100 - fuzzy_lines.EDIT_PERCENT) * longest // 100:
-                parent[find(i)] = find(j)
+        most = (100 - fuzzy_lines.EDIT_PERCENT) * np.maximum(sizes[i + 1:], sizes[i]) // 100
+        alike = np.flatnonzero(np.abs(sizes[i + 1:] - sizes[i]) <= most)
+        for j in alike[np.abs(runs[i + 1 + alike] - runs[i]).sum(1, dtype=np.int64) <= 6 * most[alike]].tolist():
+            if distance(lines[i], lines[i + 1 + j]) <= most[j]:
+                parent[find(i)] = find(i + 1 + j)
     number, first = {t: i for i, t in enumerate(lines)}, {}
     for place in sorted(norm):
         first.setdefault(find(number[norm[place]]), place)
