@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from vitrine.operators.silhouette import TOLERANCE, silhouette
+from vitrine.operators.ward import ENTRIES, ward
 from vitrine.schema import CLUSTER_FEATURES, available
 from vitrine.session import together
 
@@ -80,10 +81,12 @@ def sweep_k(df: DataFrame, ks: Sequence[int] = CANDIDATE_K, features: Sequence[s
 
 
 def hierarchical(df: DataFrame, k: int = HIERARCHICAL_K, features: Sequence[str] | None = None, seed: int = 42,
-                 label: str = "cluster_hierarchical") -> DataFrame:
-    """Divisive hierarchical clustering: bisecting k-means instead of merging all
-    pairs, which no cluster could do at scale. Leaves are numbered by centre norm."""
+                 label: str = "cluster_hierarchical", bisecting: bool = False, entries: int = ENTRIES) -> DataFrame:
+    """Ward's hierarchy over clustering features, cut at k clusters; or, with `bisecting`, divisive clustering by k-means.
+    Clusters are numbered by centre norm."""
     names = list(features or available(df, CLUSTER_FEATURES))
+    if not bisecting:
+        return ward(df.drop(label), k, names, label, entries)
     model = BisectingKMeans(k=k, seed=seed, featuresCol="_features", predictionCol="_p").fit(
         assembled(df.select(*names), names))
     return renumbered(model.transform(assembled(df.drop(label), names)), norm_order(model.clusterCenters()), label)

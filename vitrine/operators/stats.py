@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
@@ -141,6 +141,72 @@ def catalogue_summary(df: DataFrame) -> DataFrame:
     return row.withColumn("verdict", rating_verdict(F.col("mean_rating")))
 
 
+def catalogue_report(df: DataFrame, top: DataFrame, cluster: str = "cluster_kmeans") -> DataFrame:
+    """(section, position, key, value, pct): the whole summary of a catalogue and its top-k table.
+
+    Means and cluster sizes are two grouping sets of one aggregate, so the catalogue is read once. Sections: overview (n, top_k, mean_score,
+    mean_price, mean_rating), currency, top_categories (three of the top-k), clusters with their share of all rows, and trends
+    (dominant category of the top-k and its products there, verdict on the mean rating).
+    """
+    has_cluster = cluster in df.columns
+    sets = [[], [cluster]] if has_cluster else [[]]
+    currency = F.min_by("currency", "product_id") if "currency" in df.columns else F.lit("EUR")
+    grouped = df.groupingSets(sets, *([cluster] if has_cluster else [])).agg(
+        (F.grouping_id() if has_cluster else F.lit(1)).alias("_all"), F.count(F.lit(1)).alias("n"), F.avg("composite_score").alias("mean_score"),
+        F.avg("price").alias("mean_price"), F.avg("rating").alias("mean_rating"), currency.alias("currency"))
+    total = F.max(F.when(F.col("_all") == 1, F.col("n"))).over(Window.partitionBy())
+    # One row per cluster and one for all.
+    shares = grouped.withColumn("pct", round_dec(F.col("n") / total * 100, 1))
+    categories = value_counts(top, "category", 3).select(
+        F.row_number().over(Window.orderBy(F.desc("n"), "value")).alias("position"), F.col("value").alias("key"), F.col("n").cast("double").alias("value"))
+    size = one_row(top.agg(F.count(F.lit(1)).alias("n")))["n"]
+
+    def line(section: str, position: int, key: Column, value: Column) -> Column:
+        return F.struct(F.lit(section).alias("section"), F.lit(position).alias("position"), key.cast("string").alias("key"), value.cast("double").alias("value"))
+
+    nothing = F.lit(None)
+    overview = shares.filter("_all = 1").withColumn("top_k", F.lit(size)).select(F.inline(F.array(
+        *[line("overview", i, F.lit(c), F.col(c)) for i, c in enumerate(("n", "top_k", "mean_score", "mean_price", "mean_rating"), 1)],
+        line("currency", 1, F.col("currency"), nothing), line("trends", 2, rating_verdict(F.col("mean_rating")), F.col("mean_rating")))))
+    parts = [overview.withColumn("pct", nothing.cast("double")),
+             categories.select(F.lit("top_categories").alias("section"), "position", "key", "value", nothing.cast("double").alias("pct")),
+             categories.filter("position = 1").select(F.lit("trends").alias("section"), "position", "key", "value", nothing.cast("double").alias("pct"))]
+    if has_cluster:
+        known = shares.filter((F.col("_all") == 0) & F.col(cluster).isNotNull())
+        parts.append(known.select(F.lit("clusters").alias("section"), F.row_number().over(Window.orderBy(cluster)).alias("position"),
+                                  F.col(cluster).cast("string").alias("key"), F.col("n").cast("double").alias("value"), "pct"))
+    return reduce(DataFrame.unionByName, parts)
+
+
+# Columns of a category's best products, and the length of their titles.
+BEST_COLUMNS = ("price", "rating", "review_count", "composite_score", "cluster_kmeans")
+TITLE_CHARS = 60
+
+
+def category_report(df: DataFrame, best: int = 10, cluster: str = "cluster_kmeans") -> DataFrame:
+    """One row per category with all of its context: size, price range, mean and median, mean rating and score, `clusters` as
+    (cluster, n) by cluster, and `best` as its first products by score. Rows without price or rating are left out.
+
+    Figures by category and by category and cluster are two grouping sets of one aggregate; the best products are cut to `best` per category
+    before they are gathered.
+    """
+    known = df.dropna(subset=["price", "rating"])
+    grouped = known.groupingSets([["category"], ["category", cluster]], "category", cluster).agg(
+        F.grouping(cluster).alias("_all"), F.count(F.lit(1)).alias("n"), F.min("price").alias("price_min"), F.max("price").alias("price_max"),
+        F.avg("price").alias("price_mean"), F.avg("rating").alias("rating_mean"), F.avg("composite_score").alias("score_mean"))
+    whole = F.col("_all") == 1
+    figures = grouped.groupBy("category").agg(
+        *[F.max(F.when(whole, F.col(c))).alias(c) for c in ("n", "price_min", "price_max", "price_mean", "rating_mean", "score_mean")],
+        F.array_sort(F.collect_list(F.when(~whole & F.col(cluster).isNotNull(), F.struct(F.col(cluster).alias("cluster"), "n")))).alias("clusters"))
+    medians = quantiles(known, "price", {"price_median": 0.5}, by=["category"]).drop("n")
+    w = Window.partitionBy("category").orderBy(F.desc_nulls_last("composite_score"), "product_id")
+    first = known.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= best).groupBy("category").agg(
+        F.array_sort(F.collect_list(F.struct("rank", F.substring("title", 1, TITLE_CHARS).alias("title"), *available(df, BEST_COLUMNS)))).alias("best"))
+    keyed = [x.withColumnRenamed("category", f"_{i}") for i, x in enumerate((medians, first))]
+    return (figures.join(keyed[0], F.col("category").eqNullSafe(F.col("_0")), "left")
+            .join(keyed[1], F.col("category").eqNullSafe(F.col("_1")), "left").drop("_0", "_1"))
+
+
 def rating_verdict(mean_rating):
     """Fixed thresholds: 4 and above is excellent, 3 and above fair, else weak."""
     return F.when(mean_rating >= 4.0, "excellent").when(mean_rating >= 3.0, "fair").otherwise("weak")

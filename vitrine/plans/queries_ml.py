@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from vitrine.functions.numeric import round_dec
 from vitrine.operators import cluster as C
@@ -10,6 +11,7 @@ from vitrine.operators import evaluate as E
 from vitrine.operators import silhouette as H
 from vitrine.operators import stats as S
 from vitrine.operators import supervised as M
+from vitrine.operators import ward as W
 from vitrine.operators.dbscan import dbscan
 from vitrine.plans import full_run
 from vitrine.plans.registry import Registry, r
@@ -199,6 +201,24 @@ def _(spark, sf_dir):
     return C.hierarchical(stage_of(scored(spark, sf_dir), "scored")).select("product_id", "cluster_hierarchical")
 
 
+@REG.query("hierarchical_bisecting")
+def _(spark, sf_dir):
+    return C.hierarchical(stage_of(scored(spark, sf_dir), "scored"), bisecting=True).select("product_id", "cluster_hierarchical")
+
+
+SPREAD = " + ".join(f"var_pop({c})" for c in CLUSTER_FEATURES)
+
+
+@REG.query("ward_merges", f"""WITH {FEATURED_SQL}, whole AS (SELECT count(*) AS n, count(*) * ({SPREAD}) AS error FROM featured)
+  SELECT n AS top_size, CAST(round(error, 0) AS BIGINT) AS error, true AS rising FROM whole""")
+def _(spark, sf_dir):
+    """The rises of all merges add up to the squared error of the table, and none is below the one before."""
+    steps = W.merge_table(stage_of(featured(spark, sf_dir).select(*CLUSTER_FEATURES), "featured"), CLUSTER_FEATURES)
+    last = F.lag("rise").over(Window.orderBy("step"))
+    return steps.select("n", "rise", "step", ((F.col("step") < 2) | (F.col("rise") >= last - 1e-9)).alias("up")).agg(
+        F.max("n").alias("top_size"), F.round(F.sum("rise"), 0).cast("long").alias("error"), F.bool_and("up").alias("rising"))
+
+
 @REG.query("pca_projection")
 def _(spark, sf_dir):
     return C.pca2(clustered(spark, sf_dir))[0]

@@ -7,8 +7,10 @@ from pyspark.sql import functions as F
 from vitrine.functions.numeric import round_dec
 from vitrine.operators import features as X
 from vitrine.operators import score as K
+from vitrine.operators import sketches as H
 from vitrine.operators import stats as S
 from vitrine.plans.registry import Registry, r
+from vitrine.session import fresh_path, one_row
 from vitrine.sources import demo
 from vitrine.sources.demo import CLUSTERED_SQL, PRODUCTS_SQL, SCORED_SQL, clustered, scored, table
 
@@ -154,6 +156,83 @@ def _(spark, sf_dir):
     return rounded(S.catalogue_summary(scored(spark, sf_dir)), ("mean_score", "mean_price", "mean_rating"))
 
 
+REPORT_SQL = f"""WITH {CLUSTERED_SQL}, top AS (SELECT * FROM clustered ORDER BY composite_score DESC, product_id LIMIT 100
+), cats AS (SELECT category AS key, count(*)::DOUBLE AS value, row_number() OVER (ORDER BY count(*) DESC, category) AS position
+  FROM top GROUP BY category QUALIFY position <= 3
+), facts AS (SELECT count(*) AS n, avg(composite_score) AS s, avg(price) AS p, avg(rating) AS r, arg_min(currency, product_id) AS c FROM clustered
+), lines AS (
+  SELECT 'overview' AS section, 1 AS position, 'n' AS key, n::DOUBLE AS value, NULL::DOUBLE AS pct FROM facts
+  UNION ALL SELECT 'overview', 2, 'top_k', (SELECT count(*) FROM top), NULL FROM facts
+  UNION ALL SELECT 'overview', 3, 'mean_score', s, NULL FROM facts
+  UNION ALL SELECT 'overview', 4, 'mean_price', p, NULL FROM facts
+  UNION ALL SELECT 'overview', 5, 'mean_rating', r, NULL FROM facts
+  UNION ALL SELECT 'currency', 1, c, NULL, NULL FROM facts
+  UNION ALL SELECT 'trends', 2, CASE WHEN r >= 4 THEN 'excellent' WHEN r >= 3 THEN 'fair' ELSE 'weak' END, r, NULL FROM facts
+  UNION ALL SELECT 'top_categories', position, key, value, NULL FROM cats
+  UNION ALL SELECT 'trends', 1, key, value, NULL FROM cats WHERE position = 1
+  UNION ALL SELECT 'clusters', row_number() OVER (ORDER BY cluster_kmeans), CAST(cluster_kmeans AS VARCHAR), count(*),
+    {r('count(*) * 100e0 / any_value(n)', 1)} FROM clustered, facts GROUP BY cluster_kmeans)
+SELECT section, position, key, {r('value', 6)} AS value, pct FROM lines"""
+
+
+@REG.query("catalogue_report", REPORT_SQL)
+def _(spark, sf_dir):
+    df = clustered(spark, sf_dir)
+    return rounded(S.catalogue_report(df, K.top_k(df, 100)), ("value",))
+
+
+@REG.query("category_report", f"""WITH {CLUSTERED_SQL}, ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY category ORDER BY composite_score DESC, product_id) AS rank FROM clustered
+), best AS (SELECT category, string_agg(rank || ':' || title[:60] || ':' || review_count || ':' || cluster_kmeans, '; ' ORDER BY rank) AS best
+  FROM ranked WHERE rank <= 10 GROUP BY category
+), parts AS (SELECT category, string_agg(cluster_kmeans || '=' || n, ' ' ORDER BY cluster_kmeans) AS clusters
+  FROM (SELECT category, cluster_kmeans, count(*) AS n FROM clustered GROUP BY ALL) GROUP BY category)
+SELECT category, count(*) AS n, min(price) AS price_min, max(price) AS price_max, {r('avg(price)', 6)} AS price_mean,
+  {r('median(price)', 6)} AS price_median, {r('avg(rating)', 6)} AS rating_mean, {r('avg(composite_score)', 6)} AS score_mean,
+  any_value(clusters) AS clusters, any_value(best) AS best FROM clustered JOIN best USING (category) JOIN parts USING (category) GROUP BY category""")
+def _(spark, sf_dir):
+    out = S.category_report(clustered(spark, sf_dir))
+
+    def joined(column, sep, *fields):
+        text = F.transform(column, lambda e: F.concat_ws(sep, *[e[f].cast("string") for f in fields]))
+        return F.array_join(text, "; " if sep == ":" else " ")
+
+    out = out.withColumns({"clusters": joined("clusters", "=", "cluster", "n"), "best": joined("best", ":", "rank", "title", "review_count", "cluster_kmeans")})
+    return rounded(out, ("price_mean", "price_median", "rating_mean", "score_mean"))
+
+
+def stored_batches(spark, sf_dir):
+    """Sketches of the scored products, one stored batch per source file, the first one stored twice."""
+    df, table_path = scored(spark, sf_dir), fresh_path(spark, "sketches")
+    for name in ("shopify_20260101_000000.csv", "woocommerce_20260102_000000.csv", "manual.csv", "manual.csv"):
+        batch = df.filter(F.col("_source_file") == name)
+        H.store(H.summed_up(batch, "composite_score", F.concat_ws("_", "category", "brand")), table_path, name)
+    return df, H.merged(spark, table_path)
+
+
+@REG.query("score_distribution_approx", f"""WITH {SCORED_SQL} SELECT count(*) AS n, min(composite_score) AS low, max(composite_score) AS high,
+  {r('avg(composite_score)', 6)} AS mean, true AS q25_within, true AS median_within, true AS q75_within FROM scored""")
+def _(spark, sf_dir):
+    """Exact figures, and whether the rank of each quantile of the merged sketches is within the stated error."""
+    df, sketch = stored_batches(spark, sf_dir)
+    probs = {"q25": 0.25, "median": 0.5, "q75": 0.75}
+    found = H.distribution(sketch, probs)
+    score, cuts = F.col("composite_score"), one_row(found)
+    ranks = one_row(df.agg(*[f.alias(f"{name}_{end}") for name in probs for end, f in (
+        ("below", F.count_if(score < F.lit(cuts[name]))), ("upto", F.count_if(score <= F.lit(cuts[name]))))]))
+    within = {f"{name}_within": ranks[f"{name}_below"] <= (p + H.RANK_ERROR) * cuts["n"] and ranks[f"{name}_upto"] >= (p - H.RANK_ERROR) * cuts["n"]
+              for name, p in probs.items()}
+    return rounded(found.select("n", "low", "high", "mean", *[F.lit(v).alias(k) for k, v in within.items()]), ("mean",))
+
+
+@REG.query("distinct_baskets_approx", f"""WITH {SCORED_SQL} SELECT count(*) AS n, true AS within FROM scored""")
+def _(spark, sf_dir):
+    """Whether the merged sketches' number of distinct baskets is within the stated error of the exact one."""
+    df, sketch = stored_batches(spark, sf_dir)
+    exact = one_row(df.agg(F.count_distinct(F.concat_ws("_", "category", "brand")).alias("n")))["n"]
+    return H.distinct(sketch).select("n", (F.abs(F.col("distinct") - exact) <= H.COUNT_ERROR * exact).alias("within"))
+
+
 @REG.query("rating_verdict", f"""WITH {PRODUCTS_SQL} SELECT brand, CASE WHEN avg(rating) >= 4 THEN 'excellent'
   WHEN avg(rating) >= 3 THEN 'fair' ELSE 'weak' END AS verdict,
   any_value(dom) AS dominant_category FROM products JOIN (
