@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 from functools import partial
 
 from pyspark.ml.clustering import BisectingKMeans, KMeans
@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from vitrine.operators.silhouette import TOLERANCE, silhouette
-from vitrine.operators.ward import ENTRIES, ward
+from vitrine.operators.ward import ENTRIES, ward_fit
 from vitrine.schema import CLUSTER_FEATURES, available
 from vitrine.session import together
 
@@ -57,39 +57,62 @@ def renumbered(predicted: DataFrame, order: Sequence[int], label: str) -> DataFr
     return predicted.withColumn(label, table[F.col("_p")]).drop("_p", "_features")
 
 
-def kmeans(df: DataFrame, k: int = 3, features: Sequence[str] | None = None, seed: int = 42,
-           label: str = "cluster_kmeans") -> DataFrame:
-    """K-means labels, numbered by the norm of their centres."""
+Labeller = Callable[[DataFrame], DataFrame]
+
+
+def kmeans_fit(df: DataFrame, k: int = 3, features: Sequence[str] | None = None, seed: int = 42, label: str = "cluster_kmeans") -> Labeller:
+    """K-means as a function that adds labels to a table; numbered by the norm of their centres."""
     names = list(features or available(df, CLUSTER_FEATURES))
     model = KMeans(k=k, seed=seed, featuresCol="_features", predictionCol="_p", maxIter=100, tol=1e-4).fit(
         assembled(df.select(*names), names))
-    return renumbered(model.transform(assembled(df.drop(label), names)), norm_order(model.clusterCenters()), label)
+    order = norm_order(model.clusterCenters())
+    return lambda rows: renumbered(model.transform(assembled(rows.drop(label), names)), order, label)
 
 
-def sweep_k(df: DataFrame, ks: Sequence[int] = CANDIDATE_K, features: Sequence[str] | None = None,
-            seed: int = 42, squared: bool = False, tolerance: float = TOLERANCE) -> tuple[DataFrame, dict[int, float]]:
-    """K-means for every k, keeping the labels of the best silhouette; scores by k, Euclidean ones within the tolerance."""
+def kmeans(df: DataFrame, k: int = 3, features: Sequence[str] | None = None, seed: int = 42,
+           label: str = "cluster_kmeans") -> DataFrame:
+    """K-means labels, numbered by the norm of their centres."""
+    return kmeans_fit(df, k, features, seed, label)(df)
+
+
+def sweep_fit(df: DataFrame, ks: Sequence[int] = CANDIDATE_K, features: Sequence[str] | None = None,
+              seed: int = 42, squared: bool = False, tolerance: float = TOLERANCE) -> tuple[Labeller, dict[int, float]]:
+    """K-means for every k, keeping the one of the best silhouette; scores by k, Euclidean ones within the tolerance."""
     names = list(features or available(df, CLUSTER_FEATURES))
 
-    def attempt(k: int) -> tuple[DataFrame, float]:
-        out = kmeans(df, k, names, seed)
-        return out, silhouette(out, names, squared=squared, tolerance=tolerance).first()["silhouette"]
+    def attempt(k: int) -> tuple[Labeller, float]:
+        labeller = kmeans_fit(df, k, names, seed)
+        return labeller, silhouette(labeller(df), names, squared=squared, tolerance=tolerance).first()["silhouette"]
 
     done = dict(zip(ks, together([partial(attempt, k) for k in ks])))
     scores = {k: value for k, (_, value) in done.items()}
     return done[max(scores, key=scores.get)][0], scores
 
 
-def hierarchical(df: DataFrame, k: int = HIERARCHICAL_K, features: Sequence[str] | None = None, seed: int = 42,
-                 label: str = "cluster_hierarchical", bisecting: bool = False, entries: int = ENTRIES) -> DataFrame:
+def sweep_k(df: DataFrame, ks: Sequence[int] = CANDIDATE_K, features: Sequence[str] | None = None,
+            seed: int = 42, squared: bool = False, tolerance: float = TOLERANCE) -> tuple[DataFrame, dict[int, float]]:
+    """The rows with the labels of the best k, and the scores by k."""
+    labeller, scores = sweep_fit(df, ks, features, seed, squared, tolerance)
+    return labeller(df), scores
+
+
+def hierarchical_fit(df: DataFrame, k: int = HIERARCHICAL_K, features: Sequence[str] | None = None, seed: int = 42,
+                     label: str = "cluster_hierarchical", bisecting: bool = False, entries: int = ENTRIES) -> Labeller:
     """Ward's hierarchy over clustering features, cut at k clusters; or, with `bisecting`, divisive clustering by k-means.
-    Clusters are numbered by centre norm."""
+    A function that adds labels to a table; clusters are numbered by centre norm."""
     names = list(features or available(df, CLUSTER_FEATURES))
     if not bisecting:
-        return ward(df.drop(label), k, names, label, entries)
+        return ward_fit(df, k, names, label, entries)
     model = BisectingKMeans(k=k, seed=seed, featuresCol="_features", predictionCol="_p").fit(
         assembled(df.select(*names), names))
-    return renumbered(model.transform(assembled(df.drop(label), names)), norm_order(model.clusterCenters()), label)
+    order = norm_order(model.clusterCenters())
+    return lambda rows: renumbered(model.transform(assembled(rows.drop(label), names)), order, label)
+
+
+def hierarchical(df: DataFrame, k: int = HIERARCHICAL_K, features: Sequence[str] | None = None, seed: int = 42,
+                 label: str = "cluster_hierarchical", bisecting: bool = False, entries: int = ENTRIES) -> DataFrame:
+    """The rows with their cluster in the hierarchy."""
+    return hierarchical_fit(df, k, features, seed, label, bisecting, entries)(df)
 
 
 def covariance(df: DataFrame, features: Sequence[str] | None = None) -> DataFrame:

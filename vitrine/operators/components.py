@@ -9,7 +9,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from vitrine.session import cut_lineage, cut_observed
+from vitrine.session import cut_lineage, cut_counted
 
 # Edges one task holds at a time.
 TASK_EDGES = 500_000
@@ -20,7 +20,7 @@ def jump(parents: DataFrame) -> DataFrame:
     while True:
         up = parents.select(F.col("node").alias("root"), F.col("root").alias("_up"))
         moved = parents.join(up, "root", "left").select("node", F.coalesce("_up", "root").alias("root"), F.col("_up").isNotNull().alias("_moved"))
-        moved, n = cut_observed(moved, F.count_if("_moved"))
+        moved, n = cut_counted(moved, F.count_if("_moved"))
         parents = moved.drop("_moved")
         if not n:
             return parents
@@ -59,14 +59,14 @@ def components(nodes: DataFrame, edges: DataFrame) -> DataFrame:
     roots. A node with very many edges only feeds a map-side combined minimum.
     """
     edges = edges.select("a", "b").filter("a <> b")
-    edges, n = cut_observed(edges.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), F.count(F.lit(1)))
+    edges, n = cut_counted(edges.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), F.count(F.lit(1)))
     if not n:
         return nodes.select("node", F.col("node").alias("root"))
     schema = edges.schema
     while True:
         tasks = -(-n // TASK_EDGES)
         before = n
-        edges, n = cut_observed(edges.repartition(tasks).mapInPandas(stars, schema), F.count(F.lit(1)))
+        edges, n = cut_counted(edges.repartition(tasks).mapInPandas(stars, schema), F.count(F.lit(1)))
         if tasks == 1:
             solved = edges.select(F.col("a").alias("node"), F.col("b").alias("root"))
             return nodes.select("node").join(solved, "node", "left").select("node", F.coalesce("root", "node").alias("root"))
@@ -77,7 +77,7 @@ def components(nodes: DataFrame, edges: DataFrame) -> DataFrame:
 def hooked(nodes: DataFrame, edges: DataFrame) -> DataFrame:
     """Components by hooking and pointer jumping alone."""
     labels = nodes.select("node", F.col("node").alias("root"))
-    both, n = cut_observed(edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct(), F.count(F.lit(1)))
+    both, n = cut_counted(edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct(), F.count(F.lit(1)))
     while n:
         hooks = both.groupBy(F.col("a").alias("node")).agg(F.min("b").alias("root")).filter("root < node")
         pointers = jump(hooks)
@@ -86,7 +86,7 @@ def hooked(nodes: DataFrame, edges: DataFrame) -> DataFrame:
         for end in ("a", "b"):
             to = pointers.select(F.col("node").alias(end), F.col("root").alias(f"_{end}"))
             both = both.join(to, end, "left").withColumn(end, F.coalesce(f"_{end}", end)).drop(f"_{end}")
-        both, n = cut_observed(both.select("a", "b").filter("a <> b").distinct(), F.count(F.lit(1)))
+        both, n = cut_counted(both.select("a", "b").filter("a <> b").distinct(), F.count(F.lit(1)))
     return labels
 
 

@@ -140,11 +140,21 @@ def _(spark, sf_dir):
     return model_metrics(M.boosted(), training(spark, sf_dir), False)
 
 
+def cross_validated(spark, sf_dir, estimator, balanced):
+    train = M.sized(M.with_weights(training(spark, sf_dir).filter("not is_test"), balanced), work=M.FOREST_WORK if balanced else 1).persist()
+    mean, std = M.cross_validate(estimator, train)
+    train.unpersist()
+    return spark.createDataFrame([(mean, std)], "f1_mean double, f1_std double")
+
+
 @REG.query("forest_cross_validation")
 def _(spark, sf_dir):
-    train = M.sized(M.with_weights(training(spark, sf_dir).filter("not is_test"), True), work=M.FOREST_WORK).persist()
-    mean, std = M.cross_validate(M.forest(), train)
-    return spark.createDataFrame([(mean, std)], "f1_mean double, f1_std double")
+    return cross_validated(spark, sf_dir, M.forest(), True)
+
+
+@REG.query("boosted_cross_validation")
+def _(spark, sf_dir):
+    return cross_validated(spark, sf_dir, M.boosted(), False)
 
 
 @REG.query("model_save_load", f"WITH {SPLIT_SQL} SELECT count(*) AS n, true AS same FROM marked WHERE is_test")
@@ -334,9 +344,13 @@ def _(spark, sf_dir):
     return spark.createDataFrame(list(scores.items()), "method string, silhouette double")
 
 
-@REG.query("run_all_steps")
-def _(spark, sf_dir):
+def whole_run(spark, sf_dir):
     raw = products(spark, sf_dir).select(
         "product_id", "title", "description", "category", "brand", "platform", "currency", "_source_file",
         *[F.col(c).cast("string").alias(c) for c in ("price", "rating", "review_count", "stock_quantity")])
-    return full_run.run(spark, raw, fresh_path(spark, "run"))["metrics"]
+    return full_run.run(spark, raw, fresh_path(spark, "run"))
+
+
+@REG.query("run_all_steps")
+def _(spark, sf_dir):
+    return whole_run(spark, sf_dir)["metrics"]

@@ -7,7 +7,7 @@ import uuid
 from collections.abc import Callable, Sequence
 from concurrent.futures import ThreadPoolExecutor
 
-from pyspark.sql import Column, DataFrame, Observation, Row, SparkSession
+from pyspark.sql import Column, DataFrame, Row, SparkSession
 
 
 PARALLEL_CHAINS = 12
@@ -63,11 +63,13 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
-def cut_observed(df: DataFrame, value: Column) -> tuple[DataFrame, int]:
-    """`cut_lineage`, and an aggregate of the rows taken while they are written, which costs no job of its own; 0 without rows."""
-    seen = Observation()
-    out = cut_lineage(df.observe(seen, value.cast("long").alias("value")))
-    return out, seen.get["value"] or 0
+def cut_counted(df: DataFrame, value: Column) -> tuple[DataFrame, int]:
+    """`cut_lineage`, and an aggregate of the rows it wrote; 0 without rows.
+
+    `observe` would take it on the way, but once a session has observed anything, its closures over fitted tree models no longer serialise.
+    """
+    out = cut_lineage(df)
+    return out, one_row(out.agg(value.cast("long").alias("value")))["value"] or 0
 
 
 def one_row(df: DataFrame) -> Row:
