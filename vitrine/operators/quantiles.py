@@ -3,7 +3,8 @@
 Spark's exact `percentile` keeps every distinct value in one reducer. Here a
 mergeable sketch first brackets each wanted rank; a second pass counts the rows
 below the bracket and groups the few values inside it. Both passes combine on the
-map side, so a hot value or a hot group never reaches one task row by row.
+map side, so a hot value or a hot group never reaches one task row by row. Where the
+bracket is too wide to list, or missed its rank, it is narrowed round by round.
 """
 
 from __future__ import annotations
@@ -14,13 +15,21 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from vitrine.session import cut_lineage, one_row
+from vitrine.session import cut_counted, cut_lineage, one_row
 
 # At n rows the bracket holds about 4n / SKETCH_ACCURACY of them; groups up to
 # SMALL_GROUP rows need no bracket.
 SKETCH_ACCURACY = 10_000
 SMALL_GROUP = 100_000
 BROADCAST_GROUPS = 20_000
+# Brackets of up to FEW rows are listed by one task; wider ones are narrowed first, by about GRID / 3 a round.
+FEW = 100_000
+GRID = 256
+
+
+def listed_up_to(accuracy: int) -> float:
+    """Rows of a group whose first bracket is expected to hold FEW."""
+    return max(FEW * accuracy / 4, SMALL_GROUP)
 
 
 def order_statistics(
@@ -62,13 +71,15 @@ def order_statistics(
             )
             for i, (_, p, rank) in enumerate(targets)
         ])
-        wanted = sketch.select(*by, "_n", specs.alias("_specs"))
+        wanted = cut_lineage(sketch.select(*by, "_n", specs.alias("_specs")))
+        wide_targets = wanted.filter(F.col("_n") > listed_up_to(accuracy)).select(*by, "_n", F.inline("_specs")).drop("_lo", "_hi")
+        wide = not wide_targets.isEmpty()
+        wanted = wanted.filter(F.col("_n") <= listed_up_to(accuracy))
         keyed = rows
         for c in by:
             keyed = keyed.withColumnRenamed(c, f"_k_{c}")
         cond = [F.col(f"_k_{c}").eqNullSafe(F.col(c)) for c in by]
         if max_groups is None:
-            wanted = cut_lineage(wanted)
             few = wanted.count() <= BROADCAST_GROUPS
         else:
             few = max_groups <= BROADCAST_GROUPS
@@ -86,7 +97,11 @@ def order_statistics(
             )
             for i, (_, p, rank) in enumerate(targets)
         ])
+        wide = n > listed_up_to(accuracy)
+        wide_targets = rows.sparkSession.range(1).select(F.lit(n).alias("_n"), specs.alias("_specs")).select("_n", F.inline("_specs")).drop("_lo", "_hi")
         joined = rows.select("_v", F.lit(n).alias("_n"), specs.alias("_specs"))
+        if wide:
+            joined = joined.filter(F.lit(False))
     inside = F.col("_v") >= F.col("_s._lo")
     counted = (
         joined.select(*by, "_n", "_v", F.explode("_specs").alias("_s"))
@@ -106,9 +121,13 @@ def order_statistics(
         F.min(F.when(F.col("_in") & (F.col("_cum") > F.ceil("_h")), F.col("_v"))).alias("_b"),
     )
     missed = (F.col("_below") > k) | F.col("_a").isNull() | F.col("_b").isNull()
-    answer = F.when(missed, F.raise_error(F.lit("rank outside its sketch bracket")).cast("double")).otherwise(
-        F.col("_a") + (F.col("_h") - k) * (F.col("_b") - F.col("_a")))
-    answered = picked.select(*by, "_n", "_t", answer.alias("_x"))
+    answer = F.when(~missed, F.col("_a") + (F.col("_h") - k) * (F.col("_b") - F.col("_a")))
+    answered, n_open = cut_counted(picked.select(*by, "_n", "_t", "_h", answer.alias("_x")), F.count_if(F.col("_x").isNull() & (F.col("_n") > 0)))
+    if wide:
+        answered = answered.unionByName(wide_targets.select(*by, "_n", "_t", "_h", F.lit(None).cast("double").alias("_x")))
+    if wide or n_open:
+        solved = narrowed(rows, answered.filter("_x IS NULL AND _n > 0").drop("_x"), by, accuracy)
+        answered = answered.filter("_x IS NOT NULL OR _n = 0").unionByName(solved)
     out = answered.groupBy(*by).agg(
         F.max("_n").alias("n"),
         *[F.max(F.when(F.col("_t") == i, F.col("_x"))).alias(name) for i, (name, _, _) in enumerate(targets)],
@@ -116,6 +135,76 @@ def order_statistics(
     return out
 
 
+def narrowed(rows: DataFrame, todo: DataFrame, by: Sequence[str], accuracy: int) -> DataFrame:
+    """(by, _n, _t, _h, _x): exact order statistics by repeated bracketing, for groups of any size and any sketch.
+
+    Every round counts, for each wanted rank, the values below, at and above the two ends of its bracket, which settles in which part the
+    rank lies whatever the sketch said, and sketches the parts for the next, narrower bracket. The ends themselves drop out of it, so it
+    shrinks even where values repeat. Brackets of at most FEW rows are then listed.
+    """
+    by, grid = list(by), [i / GRID for i in range(GRID + 1)]
+    keys = [*by, "_one"]
+    rows = rows.withColumn("_one", F.lit(0)).withColumnsRenamed({c: f"_k_{c}" for c in keys})
+    ranks = F.explode(F.array_distinct(F.array(F.floor("_h"), F.ceil("_h"))))
+    nothing = F.lit(None).cast("double")
+    asked = ["_n", "_t", "_h", "_k"]
+    state = todo.withColumn("_one", F.lit(0)).select(*keys, "_n", "_t", "_h", ranks.alias("_k")).withColumns({
+        "_from": nothing, "_to": nothing, "_base": F.lit(0).cast("long"), "_lo": nothing, "_hi": nothing, "_x": nothing, "_m": F.col("_n").cast("long")})
+    state, left = cut_counted(state, F.count(F.lit(1)))
+
+    def met(wanted: DataFrame) -> DataFrame:
+        """Rows inside the open bracket of each wanted rank of their group."""
+        few = wanted.count() <= BROADCAST_GROUPS
+        cond = [F.col(f"_k_{c}").eqNullSafe(F.col(c)) for c in keys]
+        inside = (F.col("_from").isNull() | (F.col("_v") > F.col("_from"))) & (F.col("_to").isNull() | (F.col("_v") < F.col("_to")))
+        return rows.join(F.broadcast(wanted) if few else wanted, cond).filter(inside)
+
+    v, lo, hi = F.col("_v"), F.col("_lo"), F.col("_hi")
+    finished = None
+    while left:
+        wide = state.filter((F.col("_x").isNull()) & (F.col("_m") > FEW))
+        still = state.filter((F.col("_x").isNotNull()) | (F.col("_m") <= FEW))
+        finished = still if finished is None else finished.unionByName(still)
+        inner = lo.isNull() | ((v > lo) & (v < hi))
+        seen = met(wide).groupBy(*keys, *asked, "_from", "_to", "_base", "_lo", "_hi").agg(
+            F.count_if(v < lo).alias("a"), F.count_if(v <= lo).alias("b"), F.count_if(lo.isNull() | (v < hi)).alias("c"),
+            F.count_if(lo.isNull() | (v <= hi)).alias("d"), F.count(F.lit(1)).alias("e"),
+            F.percentile_approx(F.when(v < lo, v), grid, accuracy).alias("q0"), F.percentile_approx(F.when(inner, v), grid, accuracy).alias("q1"),
+            F.percentile_approx(F.when(v > hi, v), grid, accuracy).alias("q2"))
+        r = F.col("_k") - F.col("_base")
+
+        def part(low: str, high: str, below: Column, size: Column, sketch: str) -> Column:
+            slot = F.floor((r - below) / size * GRID).cast("int")
+            q = F.col(sketch)
+            return F.struct(F.col(low).alias("_from"), F.col(high).alias("_to"), (F.col("_base") + below).alias("_base"),
+                            F.get(q, F.greatest(slot - 1, F.lit(0))).alias("_lo"), F.get(q, F.least(slot + 2, F.lit(GRID))).alias("_hi"),
+                            nothing.alias("_x"), size.alias("_m"))
+
+        def value(c: Column) -> Column:
+            return F.struct(nothing.alias("_from"), nothing.alias("_to"), F.col("_base").alias("_base"), nothing.alias("_lo"), nothing.alias("_hi"),
+                            c.alias("_x"), F.lit(0).cast("long").alias("_m"))
+
+        zero = F.lit(0).cast("long")
+        step = (F.when(r < F.col("a"), part("_from", "_lo", zero, F.col("a"), "q0")).when(r < F.col("b"), value(lo))
+                .when(lo.isNull(), part("_from", "_to", zero, F.col("c"), "q1"))
+                .when(r < F.col("c"), part("_lo", "_hi", F.col("b"), F.col("c") - F.col("b"), "q1")).when(r < F.col("d"), value(hi))
+                .otherwise(part("_hi", "_to", F.col("d"), F.col("e") - F.col("d"), "q2")))
+        state, left = cut_counted(seen.select(*keys, *asked, step.alias("s")).select(*keys, *asked, "s.*"),
+                                  F.count_if(F.col("_x").isNull() & (F.col("_m") > FEW)))
+    finished = state if finished is None else finished.unionByName(state)
+    short = cut_lineage(finished.filter("_x IS NULL"))
+    listed = met(short).groupBy(*keys, *asked, "_base", "_v").agg(F.count(F.lit(1)).alias("_c"))
+    # At most FEW rows per rank.
+    w = Window.partitionBy(*keys, *asked).orderBy("_v").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    picked = (listed.withColumn("_cum", F.sum("_c").over(w)).filter(F.col("_cum") > F.col("_k") - F.col("_base"))
+              .groupBy(*keys, *asked).agg(F.min("_v").alias("_x")))
+    found = finished.filter("_x IS NOT NULL").select(*keys, *asked, "_x").unionByName(picked)
+    k = F.floor("_h")
+    return found.groupBy(*by, "_n", "_t", "_h").agg(F.max(F.when(F.col("_k") == k, F.col("_x"))).alias("_a"),
+                                                    F.max(F.when(F.col("_k") == F.ceil("_h"), F.col("_x"))).alias("_b")).select(
+        *by, "_n", "_t", "_h", (F.col("_a") + (F.col("_h") - k) * (F.col("_b") - F.col("_a"))).alias("_x"))
+
+
 def linear_rank(p: float) -> Callable[[Column], Column]:
     """Rank of the linearly interpolated p-quantile."""
     return lambda n: (n - 1) * F.lit(float(p))
