@@ -344,7 +344,18 @@ def _(spark, sf_dir):
     return spark.createDataFrame(list(scores.items()), "method string, silhouette double")
 
 
+RUNS = {}
+
+
 def whole_run(spark, sf_dir):
+    """One run per session and input, which its report shares."""
+    key = (spark.sparkContext.applicationId, sf_dir)
+    if key not in RUNS:
+        RUNS[key] = new_run(spark, sf_dir)
+    return RUNS[key]
+
+
+def new_run(spark, sf_dir):
     raw = products(spark, sf_dir).select(
         "product_id", "title", "description", "category", "brand", "platform", "currency", "_source_file",
         *[F.col(c).cast("string").alias(c) for c in ("price", "rating", "review_count", "stock_quantity")])
