@@ -5,8 +5,7 @@ import pytest
 import __spark_entry__ as entry
 from tests.oracle import compare, connect
 
-SLOW = {"kmeans_sweep", "silhouette_by_method", "run_all_steps", "boosted_metrics", "forest_cross_validation",
-        "supervised_run", "forest_metrics"}
+SLOW = {"boosted_metrics", "forest_cross_validation", "boosted_cross_validation", "supervised_run"}
 SQL = entry.oracle_sql()
 
 
