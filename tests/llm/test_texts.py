@@ -3,6 +3,7 @@
 import html
 import itertools
 import random
+import tracemalloc
 import re
 import zlib
 
@@ -243,6 +244,51 @@ def test_scripts_are_read_to_their_end_tag():
     assert [x.text for x in block_lstm.leaves(page)] == ["One.", "Two.", "Three.", "Four.", "Five."]
 
 
+def test_quotes_and_hidden_parts():
+    def texts(page):
+        return [x.text for x in block_lstm.leaves(page)]
+
+    assert texts("<article><p class=it's>Hello don't you</p><p>second para isn't lost</p></article>") == ["Hello don't you", "second para isn't lost"]
+    assert texts('<article><p><a title="x>link</a> and more</p></article>') == ["link and more"]
+    assert texts("<p title='a > b' data-x = \"c > d\">kept</p><p>Sum <math><mi>x</mi><mo>=</mo><mn>2</mn></math></p><object data=x><p>in its place</p></object>") \
+        == ["kept", "Sum x=2", "in its place"]
+    for tag in ("<div hidden>", "<div aria-hidden=true>", "<div style='display: none'>"):
+        assert "hidden" in next(block_lstm.leaves(tag + "x</div>")).path[-1]
+    assert "hidden" not in next(block_lstm.leaves("<div title='hidden class=nav' data-class=nav>x</div>")).path[-1]
+
+
+def test_every_word_of_a_block_counts():
+    words = [f"w{i}" for i in range(200)]
+    one = block_lstm.vectors([block_lstm.Leaf(" ".join(words), (), 0)])
+    words[100] = "other"
+    assert (one != block_lstm.vectors([block_lstm.Leaf(" ".join(words), (), 0)])).any()
+
+
+def test_prediction_equals_the_trained_network():
+    network = block_lstm.Network(np.random.default_rng(4))
+    pages = [OTHER_TEMPLATE, "<p>a</p>", "<ul>" + "<li>item of a list" * 50 + "</ul>"]
+    blocks = [list(block_lstm.leaves(p)) for p in pages]
+    xs = [block_lstm.vectors(b) for b in blocks]
+    for x in xs:
+        x[:, block_lstm.PLACE] = block_lstm.places(len(x))
+    want = network.forward(*block_lstm.padded(xs))[0]
+    got = network.predict([network.inputs(iter(b))[1] for b in blocks])
+    for i, p in enumerate(got):
+        assert np.allclose(p, want[:len(p), i], atol=1e-4)
+
+
+def test_memory_of_a_page_of_many_blocks():
+    network = block_lstm.Network(np.random.default_rng(4))
+    page = "<article>" + "<p class=a>one block</p>" * 30_000 + "</article>"
+    tracemalloc.start()
+    try:
+        found = block_lstm.main_texts(network, [page, page, None])
+        peak = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    assert len(found) == 3 and found[0] == found[1] and peak < 150e6
+
+
 def test_odd_pages(spark):
     schema = "page_id long, url string, html string, text string, n_chars string"
     rows = [(1, None, None, "x", "y"), (2, "u", "", "x", "y"), (None, "u", "<p>no end", "x", "y"), (4, "u", "<" * 500 + "&#x;&bad;" + "<p " * 50, "x", "y"),

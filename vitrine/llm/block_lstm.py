@@ -11,7 +11,9 @@ from __future__ import annotations
 import html
 import re
 from collections.abc import Iterator
-from dataclasses import dataclass, field
+from dataclasses import dataclass
+from functools import lru_cache
+from itertools import islice
 from zlib import crc32
 
 import numpy as np
@@ -26,7 +28,7 @@ VOID = frozenset("area base br col embed hr img input link meta param source tra
 BLOCK = frozenset("address article aside blockquote body button caption dd details dialog div dl dt fieldset figcaption figure footer form h1 h2 h3 h4 "
                   "h5 h6 head header hr html legend li main menu nav ol optgroup option p pre section select summary table tbody td tfoot th thead title tr "
                   "ul".split())
-HIDDEN = frozenset("script style noscript template iframe object svg math textarea canvas".split())
+HIDDEN = frozenset("script style noscript template iframe svg textarea canvas".split())
 # Elements whose content is read as characters up to their end tag, whatever looks like a tag in it.
 RAW_END = {name: re.compile(rf"</{name}(?=[\s/>]|\Z)", re.I) for name in ("script", "style", "noscript", "iframe", "textarea")}
 CLOSES_P = BLOCK - {"html", "head", "body", "title"}
@@ -52,51 +54,56 @@ KNOWN = {w: i for i, w in enumerate([*CONTENT_WORDS, *sorted(BAD_WORDS), *TAGS])
 CAPITALS = bytes(range(65, 91))
 HASHED, LAYOUT = 32, 13
 WIDTH = 2 * len(KNOWN) + HASHED + LAYOUT
+PLACE = slice(2 * len(KNOWN) + HASHED + 6, 2 * len(KNOWN) + HASHED + 9)
 HIDDEN_UNITS, EPOCHS, BATCH, RATE, SEED = 16, 14, 32, 0.01, 3
 SAMPLE_PAGES, SAMPLE_CHARS, VARIANTS = 150, 100_000, 3
-PAGES_AT_ONCE = 256
+# Blocks made into vectors at once, and blocks of the pages that are labelled together; a longer page is labelled alone.
+CHUNK, BLOCKS_AT_ONCE = 2048, 65_536
 
-TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)|</?[a-zA-Z](?:[^>\"']|\"[^\"]*\"|'[^']*')*(?:>|\Z)|[^<]+|<", re.S)
+# A quote opens a value only after "=", and only where it is closed later; otherwise it is a character like any other.
+TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)|"
+                   r"</?[a-zA-Z](?:=\s*+(?:\"[^\"]*+\"|'[^']*+')|[^>])*+(?:>|\Z)|[^<]+|<", re.S)
 NAME = re.compile(r"</?([a-zA-Z][^\s/>]*)")
-ATTRIBUTE = re.compile(r"\b(?:class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)
+ATTRIBUTE = re.compile(r"([^\s/>=\"']+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+)))?")
+UNSEEN = re.compile(r"(?:display\s*:\s*none|visibility\s*:\s*hidden)", re.I)
 WORDS = re.compile(r"[a-z]+")
 SPACE = re.compile(r"\s+")
 EXTRACTED = pa.schema([("page_id", pa.int64()), ("url", pa.string()), ("text", pa.string()), ("n_chars", pa.int64())])
 
 
-@dataclass
+@dataclass(slots=True)
 class Leaf:
-    """Text of a block, the words of its path from the root, those of its nearest elements, and its characters inside links."""
+    """Text of a block, the words of each element from the root to it, and its characters inside links."""
 
     text: str
     path: tuple[frozenset, ...]
     linked: int
-    words: list[str] = field(default_factory=list)
 
 
-def element_words(name: str, tag: str) -> frozenset:
-    found = {name}
-    if "=" in tag:
-        for m in ATTRIBUTE.finditer(tag):
-            found.update(WORDS.findall((m[1] or m[2] or m[3] or "").lower()))
+@lru_cache(8192)
+def element_words(tag: str) -> frozenset:
+    """Name of an element, the words of its class, id and role, and "hidden" where an attribute says that it is not shown."""
+    m = NAME.match(tag)
+    found = {m[1].lower()}
+    for a in ATTRIBUTE.finditer(tag, m.end()):
+        key, value = a[1].lower(), a[2] or a[3] or a[4] or ""
+        if key in ("class", "id", "role"):
+            found.update(WORDS.findall(value.lower()))
+        elif key == "hidden" or key == "aria-hidden" and value.lower() == "true" or key == "style" and UNSEEN.search(value):
+            found.add("hidden")
     return frozenset(found)
 
 
-def leaves(page: str) -> list[Leaf]:
+def leaves(page: str) -> Iterator[Leaf]:
     """Blocks of a page in order: text between the tags that end a block, with references decoded and white space joined."""
     stack: list[tuple[str, frozenset]] = []
-    out: list[Leaf] = []
     pieces: list[str] = []
     linked, hidden = 0, ""
 
-    def end_block() -> None:
-        nonlocal linked
-        if pieces:
-            text = SPACE.sub(" ", "".join(pieces)).strip()
-            if text:
-                out.append(Leaf(text, tuple(w for _, w in stack), linked))
-            pieces.clear()
-        linked = 0
+    def block() -> Iterator[Leaf]:
+        text = SPACE.sub(" ", "".join(pieces)).strip()
+        if text:
+            yield Leaf(text, tuple(w for _, w in stack), linked)
 
     def pop(name: str) -> None:
         for i in range(len(stack) - 1, -1, -1):
@@ -131,8 +138,10 @@ def leaves(page: str) -> list[Leaf]:
         if name == "br":
             pieces.append(" ")
             continue
-        if name in BLOCK:
-            end_block()
+        if name in BLOCK and pieces:
+            yield from block()
+            pieces.clear()
+            linked = 0
         if closing:
             pop(name)
         elif name in HIDDEN:
@@ -142,12 +151,12 @@ def leaves(page: str) -> list[Leaf]:
                 pop("p")
             elif name in ("li", "td", "th", "tr", "dt", "dd", "option") and stack and stack[-1][0] == name:
                 stack.pop()
-            stack.append((name, element_words(name, token)))
-    end_block()
-    return out
+            stack.append((name, element_words(token)))
+    yield from block()
 
 
-def vector(leaf: Leaf, at: int, count: int, out: np.ndarray) -> None:
+def vector(leaf: Leaf, out: np.ndarray) -> None:
+    """Everything of a block but its place in the page, from all its words."""
     n = len(KNOWN)
     for depth, words in enumerate(reversed(leaf.path)):
         for w in words:
@@ -157,22 +166,26 @@ def vector(leaf: Leaf, at: int, count: int, out: np.ndarray) -> None:
                 if depth < 2:
                     out[n + i] = 1
     base = 2 * n
-    words = leaf.text.split(" ")
-    for w in words[:12] + words[-4:]:
-        out[base + crc32(w.lower().encode()) % HASHED] += 0.25
-    chars, raw = len(leaf.text), leaf.text.encode()
+    words = leaf.text.lower().encode("utf-8", "replace").split(b" ")
+    out[base:base + HASHED] = np.bincount([crc32(w) % HASHED for w in words], minlength=HASHED) * (4 / max(16, len(words)))
+    chars, raw = len(leaf.text), leaf.text.encode("utf-8", "replace")
     base += HASHED
     out[base:base + LAYOUT] = (np.log1p(chars) / 5, np.log1p(len(words)) / 4, min(1.0, leaf.linked / chars), leaf.text[-1] in ".!?:;\"'",
-                               (len(raw) - len(raw.translate(None, b"0123456789"))) / chars, (len(raw) - len(raw.translate(None, CAPITALS))) / chars, at / count,
-                               at == 0, at == count - 1, len(leaf.path) / 10,
+                               (len(raw) - len(raw.translate(None, b"0123456789"))) / chars, (len(raw) - len(raw.translate(None, CAPITALS))) / chars, 0, 0, 0, len(leaf.path) / 10,
                                any(w & BAD_WORDS for w in leaf.path), any(w & BAD_WORDS for w in leaf.path[-2:]),
                                any(not w.isdisjoint(CONTENT_WORDS) for w in leaf.path))
 
 
+def places(count: int) -> np.ndarray:
+    """The three columns of PLACE for the blocks of a page: share of the page before it, first, last."""
+    at = np.arange(count)
+    return np.stack([at / max(count, 1), at == 0, at == count - 1], axis=1).astype(np.float32)
+
+
 def vectors(page: list[Leaf]) -> np.ndarray:
     out = np.zeros((len(page), WIDTH), np.float32)
     for i, leaf in enumerate(page):
-        vector(leaf, i, len(page), out[i])
+        vector(leaf, out[i])
     return out
 
 
@@ -253,6 +266,40 @@ class Network:
             out[t] = state
         return out, kept
 
+    def inputs(self, page: Iterator[Leaf]) -> tuple[list[str], np.ndarray]:
+        """Texts of a page's blocks and what both directions read of them, made a chunk at a time so that paths and vectors do not pile up."""
+        both = np.concatenate([self.w["fx"], self.w["bx"]], axis=1).astype(np.float32)
+        bias = np.concatenate([self.w["fb"], self.w["bb"]]).astype(np.float32)
+        texts, parts = [], []
+        while chunk := list(islice(page, CHUNK)):
+            texts += [x.text for x in chunk]
+            parts.append(vectors(chunk) @ both + bias)
+        z = np.concatenate(parts) if parts else np.zeros((0, len(bias)), np.float32)
+        z += places(len(texts)) @ both[PLACE]
+        return texts, z
+
+    def run(self, z: np.ndarray, mask: np.ndarray, d: str) -> np.ndarray:
+        """Contribution of one direction to the output, keeping only the current state."""
+        h = HIDDEN_UNITS
+        side = 0 if d == "f" else 1
+        wh, wo = self.w[d + "h"].astype(np.float32), self.w["o"][side * h:side * h + h, 0].astype(np.float32)
+        state, cell = np.zeros((z.shape[1], h), np.float32), np.zeros((z.shape[1], h), np.float32)
+        out = np.zeros(z.shape[:2], np.float32)
+        for t in range(len(z)) if d == "f" else range(len(z) - 1, -1, -1):
+            a = z[t, :, side * 4 * h:side * 4 * h + 4 * h] + state @ wh
+            gates, g = sigmoid(a[:, :3 * h]), np.tanh(a[:, 3 * h:])
+            m = mask[t][:, None]
+            cell = np.where(m, gates[:, h:2 * h] * cell + gates[:, :h] * g, cell)
+            state = np.where(m, gates[:, 2 * h:] * np.tanh(cell), state)
+            out[t] = state @ wo
+        return out
+
+    def predict(self, pages: list[np.ndarray]) -> list[np.ndarray]:
+        """Probability of each block of some pages, given their `inputs`."""
+        z, mask = padded(pages)
+        p = sigmoid(self.run(z, mask, "f") + self.run(z, mask, "b") + self.w["ob"][0])
+        return [p[:len(x), i] for i, x in enumerate(pages)]
+
     def unscan(self, x: np.ndarray, mask: np.ndarray, d: str, kept: list, above: np.ndarray) -> dict:
         h = HIDDEN_UNITS
         ds, dc = np.zeros((x.shape[1], h)), np.zeros((x.shape[1], h))
@@ -288,7 +335,7 @@ class Network:
 
 
 def padded(pages: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
-    x = np.zeros((max(len(p) for p in pages), len(pages), WIDTH), np.float32)
+    x = np.zeros((max(len(p) for p in pages), len(pages), pages[0].shape[1]), np.float32)
     mask = np.zeros(x.shape[:2], bool)
     for i, p in enumerate(pages):
         x[:len(p), i], mask[:len(p), i] = p, True
@@ -299,14 +346,16 @@ def train(pages: list[str]) -> Network:
     """Fit on the blocks that the markup labels; pages without any give a network that follows chance, as does no page."""
     rng = np.random.default_rng(SEED)
     network = Network(rng)
-    read = [leaves(p) for p in pages]
+    read = [list(leaves(p)) for p in pages]
     strange = [x for page in read for x in page if len(x.text) > 20]
     data = []
     for page in read:
         for _ in range(VARIANTS):
             blocks, y = varied(page, rng, strange)
             if blocks:
-                data.append((vectors(blocks), y))
+                x = vectors(blocks)
+                x[:, PLACE] = places(len(blocks))
+                data.append((x, y))
     moments = {k: (np.zeros_like(v), np.zeros_like(v)) for k, v in network.w.items()}
     step = 0
     for _ in range(EPOCHS):
@@ -326,20 +375,28 @@ def train(pages: list[str]) -> Network:
     return network
 
 
+def labelled(network: Network, read: list[tuple[list[str], np.ndarray]]) -> list[str]:
+    """Main text of pages that were read; pages of like length run together as long as their blocks, padded, keep to BLOCKS_AT_ONCE."""
+    found = [""] * len(read)
+    order = sorted((j for j in range(len(read)) if read[j][0]), key=lambda j: len(read[j][0]), reverse=True)
+    while order:
+        width = max(1, min(32, BLOCKS_AT_ONCE // len(read[order[0]][0])))
+        group, order = order[:width], order[width:]
+        for j, p in zip(group, network.predict([read[j][1] for j in group])):
+            found[j] = "\n".join(x for x, q in zip(read[j][0], p) if q >= 0.5)
+    return found
+
+
 def main_texts(network: Network, pages: list[str | None]) -> list[str]:
     """Main text of each page: its blocks with a probability of one half or more, a line each."""
-    out = []
-    for i in range(0, len(pages), PAGES_AT_ONCE):
-        read = [leaves(p or "") for p in pages[i:i + PAGES_AT_ONCE]]
-        found = [""] * len(read)
-        order = sorted((j for j in range(len(read)) if read[j]), key=lambda j: len(read[j]))
-        for k in range(0, len(order), 32):  # pages of like length together
-            group = order[k:k + 32]
-            p = network.forward(*padded([vectors(read[j]) for j in group]))[0]
-            for column, j in enumerate(group):
-                found[j] = "\n".join(x.text for x, q in zip(read[j], p[:, column]) if q >= 0.5)
-        out += found
-    return out
+    out, read, blocks = [], [], 0
+    for page in pages:
+        read.append(network.inputs(leaves(page or "")))
+        blocks += len(read[-1][0])
+        if blocks >= BLOCKS_AT_ONCE:
+            out += labelled(network, read)
+            read, blocks = [], 0
+    return out + labelled(network, read)
 
 
 def extractor(network: Network):
@@ -356,7 +413,8 @@ def extract(pages: DataFrame) -> DataFrame:
 
     The network is fitted on at most SAMPLE_PAGES pages of up to SAMPLE_CHARS
     characters, taken by key hash; a table without pages that long or short enough
-    trains on none. Repeated rows are extracted alike.
+    trains on none. Repeated rows are extracted alike; a null page_id stays null. The
+memory of a task grows with the text of a page and by about 600 bytes a block.
     """
     source = pages.select(F.col("page_id").cast("long").alias("page_id"), F.col("url").cast("string").alias("url"), F.col("html").cast("binary").alias("html"))
     small = source.filter(f"length(html) <= {SAMPLE_CHARS}")
