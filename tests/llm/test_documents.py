@@ -2,6 +2,7 @@
 
 import collections
 import hashlib
+import itertools
 import re
 import zlib
 
@@ -338,6 +339,21 @@ def test_random_access_and_grammar():
     assert (segment.lengths == repair_ids.expansion_lengths(segment.rules)).all()
 
 
+def test_grammar_is_complete():
+    """Runs of one symbol are replaced, and no pair that could have a rule is left; ids beyond the format are refused."""
+    rng = np.random.default_rng(9)
+    phrase = rng.integers(1, 50_000, 300)
+    ids = [np.append(x, 0).astype("<u4") for x in (np.full(4097, 7), np.tile(phrase, 40), np.full(3, 7), rng.integers(1, 40, 20_000), [])]
+    segment = repair_ids.Segment.build(list(range(len(ids))), [x.tobytes() for x in ids])
+    assert all((segment.ids(i) == x).all() for i, x in enumerate(ids)) and segment.lengths.max() >= 300
+    left = collections.Counter()
+    for a, b in itertools.pairwise(np.append(segment.first, len(segment.symbols)).tolist()):
+        left.update(itertools.pairwise(segment.symbols[a:b].tolist()))
+    assert max(left.values()) < repair_ids.MIN_COUNT and segment.first[1] - segment.first[0] < 40
+    with pytest.raises(ValueError):
+        repair_ids.Segment.build([1], [np.array([repair_ids.TERMINALS, 0], "<u4").tobytes()])
+
+
 def test_ids_of_odd_rows(spark, odd, odd_rows, empty):
     rows = repair_ids.round_trip(odd).collect()
     assert len(rows) == len(odd_rows)

@@ -2,8 +2,8 @@
 
 Documents are sorted over the cluster and every task writes its range as segments.
 In a segment the most frequent pairs of neighbouring symbols are replaced by
-nonterminals, again and again; rules and expansion lengths are stored, so any document
-can be decoded alone.
+nonterminals, again and again until no pair occurs MIN_COUNT times or the 16-bit symbols
+are used up; rules and expansion lengths are stored, so any document can be decoded alone.
 
 A segment is one binary value of a Parquet table: eight little-endian 32-bit counts
 (format, documents, rules, symbols, then zeros), doc ids (64-bit) and their validity
@@ -31,19 +31,20 @@ from vitrine.session import fresh_path
 FORMAT = 1
 TERMINALS, SYMBOLS = 50_304, 65_536
 SEGMENT_IDS = 1 << 20
-ROUNDS, PAIRS_A_ROUND, MIN_COUNT, SLOT_BITS = 5, 2_048, 16, 20
+PAIRS_A_ROUND, MIN_COUNT, SLOT_BITS = 4_096, 16, 20
 FILES = pa.schema([("part", pa.int32()), ("segment", pa.int32()), ("base", pa.int64()), ("n_ids", pa.int64()), ("data", pa.binary())])
 FILE_SCHEMA = "part int, segment int, base long, n_ids long, data binary"
 READ = pa.schema([("doc_id", pa.int64()), ("start", pa.int64()), ("n_tokens", pa.int64()), ("ids_crc32", pa.int64())])
 
 
 def choose(pairs: np.ndarray, counts: np.ndarray, most: int) -> list[int]:
-    """The most frequent pairs such that no symbol is the first of one and the second of another: they never overlap."""
+    """The most frequent pairs such that no symbol is the first of one and the second of another: they never overlap, but for
+    the pair of a symbol with itself, which then is the only one of that symbol."""
     order = np.argsort(-counts, kind="stable")[:4 * most]
     first, second, out = set(), set(), []
     for pair in pairs[order].tolist():
         a, b = pair >> 16, pair & 0xFFFF
-        if a != b and a not in second and b not in first:
+        if a not in second and b not in first and (a != b or a not in first and a not in second):
             first.add(a)
             second.add(b)
             out.append(pair)
@@ -56,32 +57,46 @@ def slot(pairs: np.ndarray) -> np.ndarray:
     return (pairs * np.uint32(0x9E3779B1)) >> np.uint32(32 - SLOT_BITS)
 
 
+def frequent(pairs: np.ndarray, slots: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The pairs that occur MIN_COUNT times, and how often. Only those in slots that full are sorted."""
+    full = np.bincount(slots, minlength=1 << SLOT_BITS) >= MIN_COUNT
+    ordered = np.sort(pairs[full[slots]])
+    heads = np.flatnonzero(np.concatenate([[True], ordered[1:] != ordered[:-1]])[:len(ordered)])
+    counts = np.diff(np.append(heads, len(ordered)))
+    often = counts >= MIN_COUNT
+    return ordered[heads][often], counts[often]
+
+
+def every_other(at: np.ndarray) -> np.ndarray:
+    """Which of some ascending places to take so that no two are neighbours, from the left."""
+    n = np.arange(len(at))
+    begins = np.concatenate([[True], np.diff(at) != 1])[:len(at)]
+    return (n - np.maximum.accumulate(np.where(begins, n, 0))) % 2 == 0
+
+
 def compress(ids: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray, list[int]]:
     """Symbols, document ends (exclusive) among them, and rules. A document's last symbol never joins the next document's first."""
     symbols = ids.astype(np.uint32)
     last = np.zeros(len(ids), bool)
     last[ends - 1] = True
     rules: list[int] = []
-    for _ in range(ROUNDS):
-        room = min(PAIRS_A_ROUND, SYMBOLS - TERMINALS - len(rules))
-        if len(symbols) < 2 or room <= 0:
-            break
+    while len(symbols) > 1 and len(rules) < SYMBOLS - TERMINALS:
         pair = symbols[:-1] << np.uint32(16) | symbols[1:]
-        free = np.flatnonzero(~last[:-1])
-        ordered = np.sort(pair[free])
-        heads = np.flatnonzero(np.concatenate([[True], ordered[1:] != ordered[:-1]])[:len(ordered)])
-        counts = np.diff(np.append(heads, len(ordered)))
-        often = counts >= MIN_COUNT
-        chosen = choose(ordered[heads][often], counts[often], room)
+        slots = slot(pair)
+        free = ~last[:-1]
+        chosen = choose(*frequent(pair[free], slots[free]), min(PAIRS_A_ROUND, SYMBOLS - TERMINALS - len(rules)))
         if not chosen:
             break
         known = np.array(chosen, np.uint32)
-        slots, numbers = np.unique(slot(known), return_index=True)  # of pairs in one slot the rarer waits for the next round
+        taken, numbers = np.unique(slot(known), return_index=True)  # of pairs in one slot the rarer waits for the next round
         known = known[numbers]
         table = np.zeros(1 << SLOT_BITS, np.uint16)
-        table[slots] = np.arange(len(known))
-        place = table[slot(pair)]
-        at = np.flatnonzero((known[place] == pair) & ~last[:-1])
+        table[taken] = np.arange(len(known))
+        place = table[slots]
+        at = np.flatnonzero((known[place] == pair) & free)
+        twins = symbols[at] == symbols[at + 1]
+        twins[twins] = ~every_other(at[twins])
+        at = at[~twins]
         symbols[at] = TERMINALS + len(rules) + place[at]
         last[at] = last[at + 1]
         keep = np.ones(len(symbols), bool)
@@ -113,7 +128,10 @@ class Segment:
     @classmethod
     def build(cls, doc_ids: list[int | None], ids: list[bytes]) -> Segment:
         n = np.array([len(x) // 4 for x in ids], np.uint32)
-        symbols, ends, rules = compress(np.frombuffer(b"".join(ids), "<u4"), np.cumsum(n, dtype=np.int64))
+        flat = np.frombuffer(b"".join(ids), "<u4")
+        if len(flat) and flat.max() >= TERMINALS:
+            raise ValueError(f"a token id of {flat.max()} does not fit this format, whose ids are below {TERMINALS}")
+        symbols, ends, rules = compress(flat, np.cumsum(n, dtype=np.int64))
         pairs = np.array([(p >> 16, p & 0xFFFF) for p in rules], np.uint16).reshape(-1, 2)
         return cls(np.array([x or 0 for x in doc_ids], np.int64), np.array([x is not None for x in doc_ids], np.uint8), n,
                    np.concatenate([[0], ends[:-1]]).astype(np.uint32), pairs, expansion_lengths(pairs).astype(np.uint32), symbols)
