@@ -9,7 +9,9 @@ from __future__ import annotations
 
 import os
 import re
+import string
 from functools import lru_cache
+from itertools import chain
 
 import numpy as np
 
@@ -57,34 +59,43 @@ class Encoder:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
-        self.marks = {m: np.array(self.tokenizer.encode(m, add_special_tokens=False).ids, "<u4").tobytes() for m in ".,"}
         self.young: dict[str, bytes] = {}
         self.old: dict[str, bytes] = {}
 
     def learn(self, new: set[str]) -> None:
         """Add the ids of parts to the young generation."""
-        known, unseen = {}, []
+        known, whole, split = {}, [], {}
+
+        def remembered(p: str) -> bytes | None:
+            ids = known.get(p)
+            if ids is None:
+                ids = self.young.get(p)
+                if ids is None:
+                    ids = self.old.get(p)
+            return ids
+
         for p in new:
             ids = self.old.get(p)
-            if ids is None:
-                unseen.append(p)
-            else:
+            if ids is not None:
                 known[p] = ids
-        # A letter and a full stop or comma behind it are never joined.
-        split = [p for p in unseen if p[-1] in ".," and len(p) > 1 and p[-2].isalpha()]
-        bare = {p[:-1] for p in split if p[:-1] not in self.young and p[:-1] not in known}
-        whole = list(bare.union(unseen).difference(split))
+                continue
+            # A letter and punctuation behind it are never joined.
+            bare = p.rstrip(string.punctuation)
+            if len(bare) < len(p) and bare[-1:].isalpha():
+                split[p] = bare, HEAD + p[len(bare):]
+            else:
+                whole.append(p)
+        whole += {x for pair in split.values() for x in pair if remembered(x) is None}.difference(whole)
         for i in range(0, len(whole), 50_000):
             some = whole[i:i + 50_000]
             found = [e.ids for e in self.tokenizer.encode_batch_fast([plain(x) for x in some], add_special_tokens=False)]
-            flat = np.fromiter((x for ids in found for x in ids), "<u4").tobytes()
+            flat = np.fromiter(chain.from_iterable(found), "<u4").tobytes()
             at = 0
             for p, ids in zip(some, found):
                 known[p] = flat[at:at + 4 * len(ids)]
                 at += 4 * len(ids)
-        for p in split:
-            ids = known.get(p[:-1])
-            known[p] = (self.young[p[:-1]] if ids is None else ids) + self.marks[p[-1]]
+        for p, (bare, tail) in split.items():
+            known[p] = remembered(bare) + remembered(tail)
         if len(self.young) + len(known) > MEMO_PARTS:
             self.old, self.young = self.young, {}
         self.young.update(known)
