@@ -3,6 +3,7 @@
 import pytest
 
 import corpus_pipeline
+from tests.llm.conftest import prose
 from tests.llm.test_documents import base_counts, check_pieces, components_of
 from vitrine.llm import fuzzy_lines, robust_quality
 from vitrine.llm.common import folded_words
@@ -70,3 +71,14 @@ def test_odd_rows_pass_every_stage(spark, sf_dir, odd, empty):
             assert name == "pack" or out.columns == docs.columns
     near = corpus_pipeline.near_dedup(spark, odd, sf_dir).collect()
     assert sorted(r["doc_id"] for r in near if r["doc_id"] is not None) == [0, 1, 2, 3, 4, 5, 7, 8, 9, 10]
+
+
+def test_near_stage_where_ids_clash(spark, sf_dir):
+    """Each text of an id is judged on its own; a null digest (no text) too, and of equal rows one stays."""
+    a, b, c = (prose(i, 80) for i in (401, 402, 403))
+    near = a.rsplit(" ", 1)[0]
+    rows = [(5, a, "x"), (5, b, "x"), (5, b, "w"), (3, near, "x"), (7, c, "x"), (7, None, "x"), (7, None, "x"), (None, a, "x"), (None, a, "x"), (9, c, "x"), (2, "", "x")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    got = corpus_pipeline.near_dedup(spark, docs, sf_dir)
+    want = [(3, near, "x"), (5, b, "w"), (7, c, "x"), (7, None, "x"), (None, a, "x"), (None, a, "x"), (2, "", "x")]
+    assert got.columns == docs.columns and sorted(map(str, map(tuple, got.collect()))) == sorted(map(str, want))
