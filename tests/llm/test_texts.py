@@ -104,6 +104,18 @@ def test_leaks_of_odd_rows(spark, odd, odd_rows, empty, benchmark):
     assert latent_leaks.find_leaks(odd, benchmark.limit(0)).filter("contaminated").count() == 0
 
 
+def test_leaks_in_many_blocks(spark, benchmark, monkeypatch):
+    """Items in blocks of three, two blocks a pass, are found as those of one block are."""
+    monkeypatch.setattr(latent_leaks, "ITEM_BLOCK", 3)
+    monkeypatch.setattr(latent_leaks, "BLOCKS_A_PASS", 2)
+    test_planted_leaks(spark, benchmark)
+    source = latent_leaks.texts(spark.createDataFrame([(n, prose(2000 + n, 250)) for n in range(40)] + [(50, None)], "doc_id long, text string"))
+    blocks = [latent_leaks.Index.of([(i, prose(2000 + i, 40).encode()) for i in range(k, k + 2)]) for k in range(0, 6, 2)]
+    alone = [latent_leaks.fitted([latent_leaks.Index(x.items, x.terms, x.spans)], source)[0] for x in blocks]
+    for x, y in zip(latent_leaks.fitted(blocks, source), alone):
+        assert np.allclose(x.idf, y.idf) and np.allclose(np.abs(x.queries @ x.queries.T), np.abs(y.queries @ y.queries.T), atol=1e-2)
+
+
 def test_common_subsequence():
     rng = random.Random(5)
     for _ in range(200):

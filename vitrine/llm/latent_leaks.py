@@ -22,6 +22,7 @@ PASSAGE_WORDS, STRIDE = 64, 32
 PIECE_WORDS = 20
 RANK, EXTRA = 64, 16
 ITEM_BLOCK = 2_000
+BLOCKS_A_PASS = 16  # blocks sketched side by side; bounds the memory of a task, changes no result
 MIN_COSINE = 0.4
 # An item is found at the first share of its words in order, or at the second with its ending.
 FULL_SHARE, PARTIAL_SHARE, ANSWER_SHARE = 0.7, 0.6, 0.6
@@ -114,50 +115,73 @@ def starts(n: int) -> np.ndarray:
     return np.arange(0, max(1, n - PASSAGE_WORDS + STRIDE), STRIDE)
 
 
-def sketcher(index: Index):
-    """Per task one row per term: passages with it, and its row of T'T W over separate passages."""
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        w = index.sketch_matrix().astype(np.float32)
-        df, total, passages = np.zeros(len(w), np.int64), np.zeros(w.shape), 0
+class Sketch:
+    """What a task sums for one block of items: passages with each term, and each term's row of T'T W."""
+
+    def __init__(self, index: Index):
+        self.index = index
+        self.w = index.sketch_matrix().astype(np.float32)
+        self.df, self.total = np.zeros(len(self.w), np.int64), np.zeros(self.w.shape)
+        self.clear()
+
+    def clear(self) -> None:
+        self.ids, self.owner, self.rows = [], [], 0
 
-        def add(ids: list[np.ndarray], owner: list[np.ndarray], rows: int) -> None:
-            term, row = np.concatenate(ids), np.concatenate(owner)
+    def text(self, words: list[bytes]) -> None:
+        own = self.index.ids(words)
+        known = np.flatnonzero(own >= 0)
+        self.ids.append(own[known])
+        self.owner.append(known // PASSAGE_WORDS + self.rows)
+        self.rows += -(-len(own) // PASSAGE_WORDS)
+        if self.rows >= 1000:
+            self.add()
+
+    def add(self) -> None:
+        if self.rows:
+            term, row = np.concatenate(self.ids), np.concatenate(self.owner)
             seen, short = np.unique(term, return_inverse=True)
-            counts = np.bincount(row * len(seen) + short, minlength=rows * len(seen)).reshape(rows, len(seen)).astype(np.float32)
-            df[seen] += (counts > 0).sum(axis=0)
-            total[seen] += counts.T @ (counts @ w[seen])
+            counts = np.bincount(row * len(seen) + short, minlength=self.rows * len(seen)).reshape(self.rows, len(seen)).astype(np.float32)
+            self.df[seen] += (counts > 0).sum(axis=0)
+            self.total[seen] += counts.T @ (counts @ self.w[seen])
+        self.clear()
+
 
+def sketcher(indexes: list[Index]):
+    """Per task and block one row per term, and one of term -1 with the number of separate passages."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sketches, passages = [Sketch(x) for x in indexes], 0
         for batch in batches:
             for part in slices(batch):
-                ids, owner, rows = [], [], 0
                 for text in part.column("text").to_pylist():
-                    own = index.ids(folded_words(text))
-                    known = np.flatnonzero(own >= 0)
-                    ids.append(own[known])
-                    owner.append(known // PASSAGE_WORDS + rows)
-                    rows += -(-len(own) // PASSAGE_WORDS)
-                    passages += -(-len(own) // PASSAGE_WORDS)
-                    if rows >= 1000:
-                        add(ids, owner, rows)
-                        ids, owner, rows = [], [], 0
-                if rows:
-                    add(ids, owner, rows)
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(np.append(np.arange(len(w)), -1)), pa.array(np.append(df, passages)),
-             *(pa.array(np.append(total[:, i], 0.0)) for i in range(w.shape[1]))], names=["term", "df", *(f"s{i}" for i in range(w.shape[1]))])
+                    words = folded_words(text)
+                    passages += -(-len(words) // PASSAGE_WORDS)
+                    for sketch in sketches:
+                        sketch.text(words)
+        for number, sketch in enumerate(sketches):
+            sketch.add()
+            n = len(sketch.w)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(np.full(n + 1, number, np.int32)), pa.array(np.append(np.arange(n), -1)), pa.array(np.append(sketch.df, passages)),
+                 *(pa.array(np.append(sketch.total[:, i], 0.0)) for i in range(sketch.w.shape[1]))],
+                names=["block", "term", "df", *(f"s{i}" for i in range(sketch.w.shape[1]))])
     return run
 
 
-def fitted(index: Index, source: DataFrame) -> Index:
-    """Statistics of all passages; only one row per benchmark word comes to the driver."""
+def fitted(indexes: list[Index], source: DataFrame) -> list[Index]:
+    """Statistics of all passages, for BLOCKS_A_PASS blocks in each pass over them; only one row per benchmark word and block
+    comes to the driver."""
     columns = [f"s{i}" for i in range(RANK + EXTRA)]
-    rows = source.mapInArrow(sketcher(index), "term long, df long, " + ", ".join(f"{c} double" for c in columns)).groupBy("term").agg(
-        F.sum("df").alias("df"), *[F.sum(c).alias(c) for c in columns]).orderBy("term").toPandas()
-    if len(rows):
-        index.fit(int(rows["df"].iloc[0]), rows["df"].to_numpy()[1:], rows[columns].to_numpy()[1:])
-    else:
-        index.fit(0, np.zeros(len(index.terms)), np.zeros((len(index.terms), len(columns))))
-    return index
+    for i in range(0, len(indexes), BLOCKS_A_PASS):
+        some = indexes[i:i + BLOCKS_A_PASS]
+        rows = source.mapInArrow(sketcher(some), "block int, term long, df long, " + ", ".join(f"{c} double" for c in columns)).groupBy(
+            "block", "term").agg(F.sum("df").alias("df"), *[F.sum(c).alias(c) for c in columns]).orderBy("block", "term").toPandas()
+        for number, index in enumerate(some):
+            own = rows[rows["block"] == number]
+            if len(own):
+                index.fit(int(own["df"].iloc[0]), own["df"].to_numpy()[1:], own[columns].to_numpy()[1:])
+            else:
+                index.fit(0, np.zeros(len(index.terms)), np.zeros((len(index.terms), len(columns))))
+    return indexes
 
 
 def common_subsequence(a: list[int], b: list[int]) -> int:
@@ -252,5 +276,5 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     listed = sorted((i, bytes(t)) for i, t in items.collect())
     source = texts(docs)
     indexes = [Index.of(listed[i:i + ITEM_BLOCK]) for i in range(0, len(listed), ITEM_BLOCK)]
-    indexes = [fitted(x, source) for x in indexes if x.terms]
+    indexes = fitted([x for x in indexes if x.terms], source)
     return source.mapInArrow(searcher(spark.sparkContext.broadcast(indexes)), FOUND_SCHEMA)
