@@ -57,10 +57,9 @@ def slot(pairs: np.ndarray) -> np.ndarray:
     return (pairs * np.uint32(0x9E3779B1)) >> np.uint32(32 - SLOT_BITS)
 
 
-def frequent(pairs: np.ndarray, slots: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """The pairs that occur MIN_COUNT times, and how often. Only those in slots that full are sorted."""
-    full = np.bincount(slots, minlength=1 << SLOT_BITS) >= MIN_COUNT
-    ordered = np.sort(pairs[full[slots]])
+def frequent(pairs: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The pairs that occur MIN_COUNT times, and how often."""
+    ordered = np.sort(pairs)
     heads = np.flatnonzero(np.concatenate([[True], ordered[1:] != ordered[:-1]])[:len(ordered)])
     counts = np.diff(np.append(heads, len(ordered)))
     often = counts >= MIN_COUNT
@@ -80,11 +79,18 @@ def compress(ids: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray,
     last = np.zeros(len(ids), bool)
     last[ends - 1] = True
     rules: list[int] = []
+    newest, before = 0, np.zeros(1 << SLOT_BITS, bool)
     while len(symbols) > 1 and len(rules) < SYMBOLS - TERMINALS:
         pair = symbols[:-1] << np.uint32(16) | symbols[1:]
         slots = slot(pair)
         free = ~last[:-1]
-        chosen = choose(*frequent(pair[free], slots[free]), min(PAIRS_A_ROUND, SYMBOLS - TERMINALS - len(rules)))
+        # A pair that is frequent now was so before, or has a symbol of the last round (at first: any).
+        fresh = symbols >= newest
+        often, counts = frequent(pair[free & (fresh[:-1] | fresh[1:] | before[slots])])
+        before[:] = False
+        before[slot(often)] = True
+        newest = TERMINALS + len(rules)
+        chosen = choose(often, counts, min(PAIRS_A_ROUND, SYMBOLS - TERMINALS - len(rules)))
         if not chosen:
             break
         known = np.array(chosen, np.uint32)
