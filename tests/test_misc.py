@@ -64,6 +64,12 @@ def test_text(spark):
     assert one(spark, T.parse_answer(F.lit(answer))) == ["Trend one", "Second trend", "Third trend here"]
 
 
+def test_entities_without_semicolon_stay(spark):
+    text = "<p>A &amp; B&middot;&#39;&#x41;&nosuch; C &copy D &amp</p>"
+    assert one(spark, T.strip_html(F.lit(text), True, unterminated=False)) == "A & B·'A&nosuch; C &copy D &amp"
+    assert one(spark, T.strip_html(F.lit(text), True)) == "A & B·'A&nosuch; C © D &"
+
+
 def test_urls(spark):
     def platform(u):
         return one(spark, W.platform_of(F.lit(u)))

@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 import html
+import re
 from functools import reduce
+from html.entities import html5
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
@@ -19,6 +21,7 @@ WHITESPACE = SPACE_CLASS + "+"
 # that "&amp;lt;" becomes "&lt;" and no more.
 TAG_PATTERN = r"<[^>]+>"
 COMMON_ENTITIES = (("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"), ("&amp;", "&"))
+TERMINATED = re.compile(r"&(?:#(?:[0-9]+|[xX][0-9a-fA-F]+)|([0-9A-Za-z]+));")
 
 # Lengths of summaries and answers.
 SUMMARY_WORDS = 20
@@ -41,15 +44,25 @@ def unescape_entities(s: pd.Series) -> pd.Series:
     return s.map(html.unescape, na_action="ignore")
 
 
-def strip_html(c: Column, all_entities: bool = False) -> Column:
+def terminated(text: str) -> str:
+    """The text with its entities decoded, but for those without a semicolon, such as an `&amp` cut off at the end."""
+    return TERMINATED.sub(lambda m: m[0] if m[1] and m[1] + ";" not in html5 else html.unescape(m[0]), text)
+
+
+@F.pandas_udf(StringType())
+def unescape_terminated(s: pd.Series) -> pd.Series:
+    return s.map(terminated, na_action="ignore")
+
+
+def strip_html(c: Column, all_entities: bool = False, unterminated: bool = True) -> Column:
     """Text without tags, entities decoded, trimmed.
 
     The five common entities stay in generated code; `all_entities` decodes the
-    whole table through Arrow batches.
+    whole table through Arrow batches, with `unterminated` also the old names that need no semicolon.
     """
     bare = F.regexp_replace(c, TAG_PATTERN, "")
     if all_entities:
-        return strip_space(unescape_entities(bare))
+        return strip_space((unescape_entities if unterminated else unescape_terminated)(bare))
     return strip_space(reduce(lambda t, e: F.replace(t, F.lit(e[0]), F.lit(e[1])), COMMON_ENTITIES, bare))
 
 
