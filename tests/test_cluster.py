@@ -216,3 +216,17 @@ def test_components_by_brute_force(spark, monkeypatch, task_edges, kind):
     linked = spark.createDataFrame([(name(a), name(b)) for a, b in edges], f"a {kind}, b {kind}").repartition(5)
     assert {r.node: r.root for r in P.components(nodes, linked).collect()} == {name(i): name(parent[i]) for i in range(420)}
     assert {(r.node, r.root) for r in P.components(nodes, linked.limit(0)).collect()} == {(name(i), name(i)) for i in range(420)}
+
+
+def test_dbscan_broadcasts_nothing(spark, monkeypatch):
+    """Every join names the side that is dealt out, so a small one is not held by the driver."""
+    from vitrine.operators import components, dbscan as D
+    sides = []
+    for module in (components, D):
+        monkeypatch.setattr(module, "met", lambda df: sides.append(1) or df.hint("merge"))
+    df = spark.createDataFrame([(i, float(i % 20), float(i // 20)) for i in range(400)], "product_id int, x double, y double")
+    out = D.dbscan(df, ["x", "y"], 1.5)
+    assert out.count() == 400 and len(sides) >= 10
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    # The numbers of the partitions alone are broadcast, on purpose.
+    assert plan.split("Initial Plan")[0].count("BroadcastHashJoin") <= 1
