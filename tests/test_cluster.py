@@ -170,6 +170,31 @@ def test_silhouette_is_exact_over_many_vectors(spark):
     assert got["silhouette"] == pytest.approx(brute_silhouette(points, labels, False), abs=1e-9)
 
 
+def test_silhouette_scores_copies_once(spark):
+    points, rows = np.random.default_rng(8).normal(size=(300, 3)), []
+    labels = np.arange(300) % 3
+    for p, c in zip(points, labels):
+        rows += [(*map(float, p), int(c))] * (c + 2)
+    df = spark.createDataFrame(rows, "x double, y double, z double, c int")
+    kept = H.labelled(df, ["x", "y", "z"], "c", None)
+    assert kept.count() == 300 and kept.agg({"_w": "sum"}).first()[0] == len(rows)
+    every = np.array([r[:3] for r in rows]), np.array([r[3] for r in rows])
+    for squared in (False, True):
+        got = H.silhouette(df, ["x", "y", "z"], "c", squared=squared).first()
+        assert got["n"] == len(rows) and got["silhouette"] == pytest.approx(brute_silhouette(*every, squared), abs=1e-9)
+
+
+def test_sums_over_leaves_keep_their_digits():
+    """Close points far from the origin, in more leaves than one step holds."""
+    rng = np.random.default_rng(9)
+    points, own = 1e4 + rng.normal(size=(6_000, 2)) * np.repeat([[1e-3], [50]], 3_000, 0), np.repeat([0, 1], 3_000)
+    forest = H.Forest.shaped(points, own, 2)
+    forest.fill(pd.DataFrame({"leaf": forest.leaf(points, own), "n": 1, "q": 0.0, "a": 0.0, "b": 0.0}), ["a", "b"])
+    lo, _ = forest.totals(points[::500])
+    want = [[np.sqrt(((p - points[own == c]) ** 2).sum(1)).sum() for c in (0, 1)] for p in points[::500]]
+    assert np.allclose(lo, want, rtol=1e-9)
+
+
 def test_silhouette_of_one_cluster(spark):
     df = spark.createDataFrame([(1.0, 0), (2.0, 0), (9.0, -1)], "x double, c int")
     assert H.silhouette(df, ["x"], "c", noise=-1).first()["silhouette"] == -1.0
