@@ -99,3 +99,18 @@ def test_itemsets_by_brute_force(spark, least, longest):
 
 def test_itemsets_of_nothing(spark):
     assert I.frequent_itemsets(spark.createDataFrame([], "transaction_id int, items array<string>")).count() == 0
+
+
+def test_itemsets_run_their_source_once(spark):
+    from vitrine.operators import itemsets as I
+    made = spark.sparkContext.accumulator(0)
+
+    def counted(batches):
+        for b in batches:
+            made.add(len(b))
+            yield b
+
+    rows = [(i, ["a", "b"] if i % 2 else []) for i in range(40)]
+    baskets = spark.createDataFrame(rows, "transaction_id int, items array<string>").mapInPandas(counted, "transaction_id int, items array<string>")
+    got = {tuple(r["items"]): r["support"] for r in I.frequent_itemsets(baskets, 0.1).collect()}
+    assert got == {("a",): 0.5, ("b",): 0.5, ("a", "b"): 0.5} and made.value == 40

@@ -13,13 +13,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from vitrine.operators.rules import LEAST_COUNT, MIN_SUPPORT
-from vitrine.session import cut_lineage
+from vitrine.session import cut_counted, cut_lineage
 
 
 def alike(baskets: DataFrame) -> DataFrame:
-    """Baskets as rows of an empty prefix, their distinct items in text order as tail; equal baskets are one row of weight `w`."""
+    """Baskets as rows of an empty prefix, their distinct items in text order as tail; equal baskets, those without items too, are one row of weight `w`."""
     items = F.array_sort(F.array_distinct(F.array_compact("items")))
-    return (baskets.select(items.alias("tail")).filter(F.size("tail") > 0).groupBy("tail").agg(F.count(F.lit(1)).alias("w"))
+    return (baskets.select(F.coalesce(items, F.array().cast("array<string>")).alias("tail")).groupBy("tail").agg(F.count(F.lit(1)).alias("w"))
             .select(F.array().cast("array<string>").alias("prefix"), "tail", "w"))
 
 
@@ -47,9 +47,11 @@ def frequent_itemsets(baskets: DataFrame, min_support: float = MIN_SUPPORT, max_
     `baskets` holds (transaction_id, items); null and repeated items count once or not at all, and baskets
     without items still count in the support. `max_length` ends the search early; without it the longest frequent set does.
     """
-    total = max(baskets.count(), 1)
+    # What makes the baskets is run once: their number comes from the stored rows.
+    rows, total = cut_counted(alike(baskets), F.sum("w"))
+    total = max(total, 1)
     least = max(float(min_support), LEAST_COUNT / total)
-    rows = cut_lineage(alike(baskets))
+    rows = rows.filter(F.size("tail") > 0)
     levels, length = [], 1
     while max_length is None or length <= max_length:
         found = cut_lineage(extensions(rows, least, total))
