@@ -257,3 +257,21 @@ def test_score_column(spark):
     assert M.score_column(spark.createDataFrame([(1, 2)], "rating_norm int, score int")) == "score"
     with pytest.raises(KeyError):
         M.score_column(spark.range(1))
+
+
+def test_boosting_reads_equal_rows_once(spark):
+    from pyspark.ml.classification import GBTClassifier
+    from vitrine.operators import supervised as M
+
+    class Seen(GBTClassifier):
+        def fit(self, rows, params=None):
+            self.rows = rows.count()
+            return super().fit(rows)
+
+    data = [(i * 100 + c, f"t{i}", float(i % 7), float(i % 11), int(i % 7 > 3)) for i in range(77) for c in range(6)]
+    df = spark.createDataFrame(data, f"product_id int, title string, a double, b double, {M.TARGET} int")
+    rows = M.with_weights(M.assembled(df, ["a", "b"]), False)
+    one = Seen(featuresCol="_features", labelCol=M.TARGET, weightCol="_weight", maxIter=3, maxDepth=3, seed=1)
+    whole, merged = GBTClassifier.fit(one, rows), M.fitted(one, rows)
+    assert one.rows == 77
+    assert M.predict(whole, rows).select("product_id", "prediction").exceptAll(M.predict(merged, rows).select("product_id", "prediction")).isEmpty()
