@@ -8,6 +8,7 @@ import zlib
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from tests.llm.conftest import prose
 from vitrine.llm import fuzzy_lines, minhash_forest, repair_ids, robust_quality, suffix_dedup, sum_squares_packing, tokens
@@ -386,3 +387,39 @@ def test_a_word_replaced_and_short_repeats(spark):
     assert len(kept) == 8  # one of each length, and one short line
     assert {r["doc_id"]: r["n_removed"] for r in fuzzy_lines.dedup_lines(docs).filter(f"doc_id >= {len(texts)}").collect()} == {
         len(texts): 0, len(texts) + 1: 1, len(texts) + 2: 0, len(texts) + 3: 0}
+
+
+def test_counts_of_letters_rule_out_no_pair(spark):
+    """Lines within the edits allowed always pass, also where counts are cut at 255."""
+    rng, pairs = np.random.default_rng(5), []
+    for n in (10, 30, 100, 900, 4000):
+        for _ in range(20):
+            a = "".join(rng.choice(list("eeeetaonis xyz0"), n))
+            b = list(a)
+            for _ in range(n // 10):
+                at = int(rng.integers(len(b)))
+                b[at:at + 1] = [["q"], [], [b[at], "e"]][rng.integers(3)]
+            pairs.append((a, "".join(b)))
+    pairs += [("e" * 200, "e" * 100 + "t" * 100), ("the same length of a line", "xyz wqvb kpfgj qq zz wxy")]
+    df = spark.createDataFrame(pairs, "a string, b string")
+    for end in "ab":
+        df = df.withColumn(f"size_{end}", F.length(end))
+        for i in range(2):
+            df = df.withColumn(f"c{i}_{end}", fuzzy_lines.counts(F.col(end), fuzzy_lines.COUNTED[8 * i:8 * i + 8]))
+    near = F.expr("levenshtein(a, b) <= floor(greatest(length(a), length(b)) / 10)")
+    rows = df.select(near.alias("near"), (fuzzy_lines.long_as("size_a", "size_b") & fuzzy_lines.lettered_as("a", "b")).alias("passes")).collect()
+    assert all(r["passes"] for r in rows if r["near"]) and sum(r["near"] for r in rows) > 50
+    assert not rows[-1]["passes"] and not rows[-2]["passes"]
+
+
+def test_lines_that_cannot_be_alike_are_not_read(spark, monkeypatch):
+    """Lines with runs in common, of which lengths and letters tell that they are not alike, never reach the edit distance."""
+    words = prose(41, 30).translate(str.maketrans("0123456789", "abcdefghij")).split()
+    texts = [" ".join([*words[:20 + k], *["zzz"] * (k % 2)]) for k in range(0, 10, 3)] + [" ".join([*words[:-1], "other"])]
+    read, confirm = [], fuzzy_lines.confirmed
+    monkeypatch.setattr(fuzzy_lines, "confirmed", lambda pairs, lines: read.append(pairs.count()) or confirm(pairs, lines))
+    docs = spark.createDataFrame([(i, t) for i, t in enumerate([*texts, " ".join(words)])], "doc_id long, text string")
+    kept = [r["doc_id"] for r in fuzzy_lines.line_decisions(docs).filter("kept").orderBy("doc_id").collect()]
+    longest = [len(t) for t in [*texts, " ".join(words)]]
+    able = sum(abs(a - b) <= max(a, b) // 10 for i, a in enumerate(longest) for b in longest[:i])
+    assert 0 < sum(read) <= able < 15 and len(kept) < len(texts) + 1
