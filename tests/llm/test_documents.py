@@ -117,6 +117,18 @@ def test_crowd_of_near_copies(spark):
     assert {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in got} == want
 
 
+def test_crowd_of_texts_that_are_apart(spark, monkeypatch):
+    """Texts with much in common and too many shingles of their own give no square of pairs; the few alike ones are linked."""
+    head = [f"c{i}" for i in range(150)]
+    texts = [(i, " ".join([*head, *[f"own{i}x{j}" for j in range(40)]])) for i in range(200)]
+    texts += [(1000 + i, " ".join([*head, *[f"own{i}x{j}" for j in range(40)], "more"])) for i in range(0, 200, 20)]
+    tested, verify = [], minhash_forest.verified
+    monkeypatch.setattr(minhash_forest, "verified", lambda pairs, *rest: tested.append(pairs.count()) or verify(pairs, *rest))
+    got = minhash_forest.near_duplicates(spark.createDataFrame(texts, "doc_id long, text string"), 85).collect()
+    assert {r["doc_id"]: r["component_id"] for r in got} == {i: i % 1000 for i, _ in texts}
+    assert sum(tested) < 8 * len(texts)
+
+
 @pytest.mark.parametrize("percent, core, own_pair, own", [(80, 159, 1, 20), (85, 169, 1, 15)])
 def test_crowd_of_many_components(spark, percent, core, own_pair, own):
     """Pairs exactly at the threshold, all of them in regions that their likeness to the other pairs crowds."""

@@ -4,7 +4,8 @@ Every distinct shingle set gets one signature per tree. The rows of a tree are
 sorted, and neighbours in that order with a long common prefix are candidates;
 they are confirmed on the full sets. Regions that still hold several components
 are searched again with a prefix as deep as the crowd in them asks for, and sets in
-such crowds in as many further trees as make up for the depth.
+such crowds in as many further trees as make up for the depth. Of a crowd, only sets meet
+that share enough shingles with other components of it to be linked at all.
 """
 
 from __future__ import annotations
@@ -34,6 +35,7 @@ ROWS = pa.schema([("key", pa.binary()), ("fp", pa.binary())])
 PAIRS = pa.schema([("a", pa.binary()), ("b", pa.binary()), ("lcp", pa.int32()), ("part", pa.int32()), ("at", pa.int32()),
                    ("key", pa.binary())])
 SETS = pa.schema([("fp", pa.binary()), ("members", pa.binary())])
+ELEMENTS = pa.schema([("id", pa.int64()), ("root", pa.int64()), ("element", pa.int64())])
 LINKS = pa.schema([("a", pa.binary()), ("b", pa.binary()), ("linked", pa.bool_())])
 
 
@@ -205,24 +207,56 @@ def further_rows(trees: int):
     return run
 
 
-def further_pairs(crowd: DataFrame, sets: DataFrame, roots: DataFrame | None, tested: DataFrame, percent: int) -> DataFrame:
-    """Untested pairs between different components that share a key of a further tree, among the sets of crowded regions."""
-    rows = sets.join(crowd, "fp", "left_semi").mapInArrow(further_rows(further_trees(percent)), "key binary, fp binary")
+def elements(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """A row for each shingle of each set."""
+    for batch in batches:
+        for part in slices(batch, "members"):
+            own = part.column("members").to_pylist()
+            at = pa.array(np.repeat(np.arange(len(own)), [len(x) // 8 for x in own]))
+            yield batch_of(ELEMENTS, id=part.column("id").take(at), root=part.column("root").take(at), element=np.frombuffer(b"".join(own), np.int64))
+
+
+def able_sets(crowd: DataFrame, sets: DataFrame, roots: DataFrame | None, percent: int) -> DataFrame:
+    """(fp, n, shared) of the sets in a crowd that could be linked with another component of it: of n shingles, those found in
+    several components are all that such a pair can have in common."""
+    held = rooted(sets.join(crowd, "fp", "left_semi"), roots, "fp")
+    each = written(held.select(F.xxhash64("fp").alias("id"), F.xxhash64("r_fp").alias("root"), "members").mapInArrow(
+        elements, "id long, root long, element long"), "elements")
+    common = each.groupBy("element").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).filter("lo < hi").select("element")
+    shared = each.join(common, "element", "left_semi").groupBy("id").agg(F.count(F.lit(1)).alias("shared"))
+    sizes = sets.join(crowd, "fp", "left_semi").select("fp", F.xxhash64("fp").alias("id"), F.expr("cast(length(members) div 8 as long)").alias("n"))
+    return written(sizes.join(shared, "id").filter(100 * F.col("shared") >= percent * F.col("n")).select("fp", "n", "shared"), "able")
+
+
+def able_pair(percent: int) -> F.Column:
+    """Whether two sets can be linked by what each shares with other components; true where that was not counted."""
+    most = F.least("shared_a", "shared_b")
+    return most.isNull() | (100 * most >= percent * (F.col("n_a") + F.col("n_b") - most))
+
+
+def both_ends(rows: DataFrame, on: str) -> list[DataFrame]:
+    """The rows as either end of a pair."""
+    return [rows.select(on, F.col("fp").alias(end), F.col("r_fp").alias(f"r{end}"), F.col("n").alias(f"n_{end}"), F.col("shared").alias(f"shared_{end}"))
+            for end in "ab"]
+
+
+def further_pairs(able: DataFrame, sets: DataFrame, roots: DataFrame | None, tested: DataFrame, percent: int) -> DataFrame:
+    """Untested pairs between different components that share a key of a further tree, among the able sets of crowded regions."""
+    rows = sets.join(able, "fp", "left_semi").mapInArrow(further_rows(further_trees(percent)), "key binary, fp binary")
     placed = written(rooted(rows, roots, "fp"), "further")
     several = placed.groupBy("key").agg(F.min("r_fp").alias("lo"), F.max("r_fp").alias("hi")).filter("lo < hi").select("key")
-    left = placed.join(several, "key", "left_semi")
-    x = left.select("key", F.col("fp").alias("a"), F.col("r_fp").alias("ra"))
-    y = left.select("key", F.col("fp").alias("b"), F.col("r_fp").alias("rb"))
-    pairs = x.join(y, "key").filter("ra < rb").select(*ordered()).distinct()
+    x, y = both_ends(placed.join(several, "key", "left_semi").join(able, "fp"), "key")
+    pairs = x.join(y, "key").filter("ra < rb").filter(able_pair(percent)).select(*ordered()).distinct()
     return written(pairs.join(tested, ["a", "b"], "left_anti"), "further-pairs")
 
 
-def crowded_pairs(rows: DataFrame, roots: DataFrame | None, tested: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Untested pairs between different components of one region, and the sets in regions that took a deeper prefix.
+def crowded_pairs(rows: DataFrame, sets: DataFrame, roots: DataFrame | None, tested: DataFrame, percent: int) -> tuple[DataFrame, DataFrame]:
+    """Untested pairs between different components of one region, and the able sets in regions that took a deeper prefix.
 
     A region is a prefix of one tree: MIN_DEPTH values, or as many more as it takes
     to have at most REGION_ROWS rows; the deepest prefix holds what is left, whole.
-    Components already joined are never compared inside, so a crowd of copies gives no pairs.
+    Components already joined are never compared inside, so a crowd of copies gives no pairs;
+    of a crowd of different texts, sets whose own shingles alone keep them apart give none.
     """
     region = F.substring("key", 1, 1 + 4 * MIN_DEPTH)
     placed = rooted(rows, roots, "fp").withColumn("region", region)
@@ -234,11 +268,12 @@ def crowded_pairs(rows: DataFrame, roots: DataFrame | None, tested: DataFrame) -
     sizes = depths.groupBy("region").agg(F.count(F.lit(1)).alias("n"))
     chosen = written(depths.join(sizes, "region").filter((F.col("n") <= REGION_ROWS) | (F.col("k") == DEPTH)).groupBy("key", "fp", "r_fp").agg(
         F.min("k").alias("k")).select(F.expr("substring(key, 1, 1 + 4 * k)").alias("region"), "fp", "r_fp", "k"), "chosen")
-    x = chosen.select("region", F.col("fp").alias("a"), F.col("r_fp").alias("ra"))
-    y = chosen.select("region", F.col("fp").alias("b"), F.col("r_fp").alias("rb"))
-    pairs = x.join(y, "region").filter("ra < rb").select(*ordered()).distinct()
-    return (written(pairs.join(tested.select("a", "b"), ["a", "b"], "left_anti"), "crowded"),
-            written(chosen.filter(F.col("k") > MIN_DEPTH).select("fp").distinct(), "crowd"))
+    deep = F.col("k") > MIN_DEPTH
+    able = able_sets(written(chosen.filter(deep).select("fp").distinct(), "crowd"), sets, roots, percent)
+    none = F.lit(None).cast("long")
+    x, y = both_ends(chosen.filter(deep).join(able, "fp").unionByName(chosen.filter(~deep).withColumns({"n": none, "shared": none})), "region")
+    pairs = x.join(y, "region").filter("ra < rb").filter(able_pair(percent)).select(*ordered()).distinct()
+    return written(pairs.join(tested.select("a", "b"), ["a", "b"], "left_anti"), "crowded"), able
 
 
 def near_duplicates(docs: DataFrame, percent: int = 85) -> DataFrame:
@@ -267,11 +302,11 @@ def near_duplicates(docs: DataFrame, percent: int = 85) -> DataFrame:
     roots = merged(None, verified(best.select(*ordered()).distinct(), sets, percent))
     apart = rooted(pairs, roots, "a", "b").filter("r_a <> r_b").select("a", "b")
     roots = merged(roots, verified(apart.join(best.select(*ordered()).distinct(), ["a", "b"], "left_anti"), sets, percent))
-    found, crowd = crowded_pairs(wanted.select("fp", "sig").mapInArrow(tree_rows, "key binary, fp binary"), roots, pairs)
+    found, able = crowded_pairs(wanted.select("fp", "sig").mapInArrow(tree_rows, "key binary, fp binary"), sets, roots, pairs, percent)
     roots = merged(roots, verified(found, sets, percent))
-    if further_trees(percent) and not crowd.isEmpty():
+    if further_trees(percent) and not able.isEmpty():
         tested = pairs.select("a", "b").unionByName(found)
-        roots = merged(roots, verified(further_pairs(crowd, sets, roots, tested, percent), sets, percent))
+        roots = merged(roots, verified(further_pairs(able, sets, roots, tested, percent), sets, percent))
     placed = rooted(signed.select("doc_id", "n_shingles", "fp"), roots, "fp")
     lowest = placed.filter("fp is not null and doc_id is not null").groupBy("r_fp").agg(F.min("doc_id").alias("lowest"))
     return placed.join(lowest, "r_fp", "left").select(
