@@ -170,6 +170,18 @@ def test_silhouette_is_exact_over_many_vectors(spark):
     assert got["silhouette"] == pytest.approx(brute_silhouette(points, labels, False), abs=1e-9)
 
 
+def test_silhouette_without_tolerance_is_exact_beyond_the_leaves(spark):
+    """Several passes of several blocks; a cluster of one row, which most blocks do not have, and copies."""
+    rng = np.random.default_rng(12)
+    points = np.concatenate([rng.normal(c, w, (n, 2)) for c, w, n in ((0, 1, 500), (3, 0.2, 300), (500, 0, 1))])
+    points[:40] = points[40]
+    labels = np.repeat([4, 1, 7], [500, 300, 1])
+    df = spark.createDataFrame([(*map(float, p), int(c)) for p, c in zip(points, labels)], "x double, y double, c int").repartition(5)
+    got = H.silhouette(df, ["x", "y"], "c", leaves=64).first()
+    assert (got["clusters"], got["n"], got["error_bound"]) == (3, len(points), 0.0)
+    assert got["silhouette"] == pytest.approx(brute_silhouette(points, labels, False), abs=1e-9)
+
+
 def test_silhouette_scores_copies_once(spark):
     points, rows = np.random.default_rng(8).normal(size=(300, 3)), []
     labels = np.arange(300) % 3
