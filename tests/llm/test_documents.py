@@ -3,7 +3,9 @@
 import collections
 import hashlib
 import itertools
+import pathlib
 import re
+import time
 import zlib
 
 import numpy as np
@@ -12,6 +14,7 @@ from pyspark.sql import functions as F
 
 from tests.llm.conftest import prose
 from vitrine.llm import fuzzy_lines, minhash_forest, repair_ids, robust_quality, suffix_dedup, sum_squares_packing, tokens
+from vitrine.session import work_dir
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 
@@ -435,3 +438,32 @@ def test_lines_that_cannot_be_alike_are_not_read(spark, monkeypatch):
     longest = [len(t) for t in [*texts, " ".join(words)]]
     able = sum(abs(a - b) <= max(a, b) // 10 for i, a in enumerate(longest) for b in longest[:i])
     assert 0 < sum(read) <= able < 15 and len(kept) < len(texts) + 1
+
+
+def test_written_stages_leave_no_shuffle_files(spark):
+    def shuffled():
+        files = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles()
+        return {f for f in (files.apply(i).getName() for i in range(files.size())) if f.startswith("shuffle_")}
+
+    before = shuffled()
+    stage = fuzzy_lines.written(spark.range(1000).repartition(7), "kept")
+    for _ in range(50):
+        left = shuffled() - before
+        if not left:
+            break
+        time.sleep(0.2)
+    assert not left and stage.count() == 1000
+
+
+def test_line_stages_are_removed_when_read(spark, documents, monkeypatch):
+    """Of the line stages only the places, distinct lines, links and groups are left; the number of passes changes nothing."""
+    def found():
+        return {(r["doc_id"], r["at"], r["kept"]) for r in fuzzy_lines.line_decisions(documents).collect()}
+
+    root = pathlib.Path(work_dir(spark).removeprefix("file:"))
+    before = {p.name for p in root.iterdir()}
+    want = found()
+    left = {p.name.rpartition("-")[0] for p in root.iterdir() if p.name not in before}
+    assert not left & {"lines", "blocks", "line-pairs", "spots", "line-texts", "apart"} and {"line-places", "distinct-lines"} <= left
+    monkeypatch.setattr(fuzzy_lines, "PASSES", 5)
+    assert found() == want
